@@ -39,6 +39,15 @@ def extract_or_null(column: Column, pattern: str, group: int = 1) -> Column:
     return F.coalesce(F.nullif(found, F.lit("")), F.when(column.rlike(pattern), F.lit("")))
 
 
+def round_half_up(column: Column, digits: int) -> Column:
+    """Round half up on decimal digits, the same for every order of summation.
+
+    A mean of two-decimal readings is often half a unit of the last digit, give or
+    take floating-point noise; cutting at the ninth digit first removes the noise.
+    """
+    return F.round(F.round(column, 9), digits)
+
+
 def minus_seconds(column: Column, seconds: int) -> Column:
     return column - F.expr(f"INTERVAL '{int(seconds)}' SECOND")
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalguard.functions.scalar import extract_or_null
+from signalguard.functions.scalar import extract_or_null, round_half_up
 
 # Patterns of the answer formats, one capturing group each.
 DIAGNOSIS_SECTIONS = {
@@ -48,7 +48,7 @@ class Field:
     def text(self) -> Column:
         c = F.col(self.column)
         if self.decimals is not None:
-            c = F.round(c, self.decimals)
+            c = round_half_up(c, self.decimals)
         c = c.cast("string")
         return c if self.null_text is None else F.coalesce(c, F.lit(self.null_text))
 

@@ -26,7 +26,7 @@ from signalguard.functions.moments import (
     read_moments,
     running_total,
 )
-from signalguard.functions.scalar import direction_label, hours_since
+from signalguard.functions.scalar import direction_label, hours_since, round_half_up
 
 MODELS = ("mean", "trend", "ar1")
 
@@ -262,7 +262,7 @@ def anomaly_records(
     return found.select(
         *keep,
         observed.alias("observed_value"),
-        F.round(r("forecast_value"), 2).alias("expected_value"),
+        round_half_up(r("forecast_value"), 2).alias("expected_value"),
         r("upper_bound").alias("upper_bound"),
         r("lower_bound").alias("lower_bound"),
         (observed - r("forecast_value")).alias("deviation"),

@@ -11,9 +11,13 @@ def _z(confidence: float) -> float:
     return NormalDist().inv_cdf(0.5 + confidence / 200.0)
 
 
+def half_up(x: str, digits: int) -> str:
+    """Half up, after floating-point noise is cut at the ninth digit."""
+    return f"CAST(round(CAST({x} AS DECIMAL(28,9)), {digits}) AS DOUBLE)"
+
+
 def r6(x: str) -> str:
-    """Half up to six digits, after floating-point noise is cut at the ninth."""
-    return f"CAST(round(CAST({x} AS DECIMAL(28,9)), 6) AS DOUBLE)"
+    return half_up(x, 6)
 
 
 def _bucket(column: str, width: str) -> str:
@@ -142,7 +146,7 @@ EVENT_BANDS = f"{EVENT_SERIES}, {_bands('user_id, signal')}"
 LINE_BANDS = f"{LINE_SERIES}, {_bands('l_suppkey, signal', least=200, most=7000, confidence=90.0)}"
 
 RECORD_COLUMNS = f"""{r6('observed_value')} AS observed_value,
-       {r6('round(forecast_value, 2)')} AS expected_value,
+       {half_up('forecast_value', 2)} AS expected_value,
        {r6('upper_bound')} AS upper_bound, {r6('lower_bound')} AS lower_bound,
        {r6('observed_value - forecast_value')} AS deviation"""
 DIRECTION = """CASE WHEN observed_value > upper_bound THEN 'HIGH'
@@ -193,7 +197,7 @@ FROM risks {where}"""
 
 # A rounded reading as text: half away from zero on the decimal digits.
 def _reading(column: str, digits: int, null_text: str | None) -> str:
-    text = f"CAST(CAST(round(CAST({column} AS DECIMAL(18,8)), {digits}) AS DOUBLE) AS VARCHAR)"
+    text = f"CAST({half_up(column, digits)} AS VARCHAR)"
     return text if null_text is None else f"coalesce({text}, '{null_text}')"
 
 

@@ -18,6 +18,7 @@ from signalguard.functions.scalar import (
     extract_or_null,
     json_text,
     minus_seconds,
+    round_half_up,
     to_millis,
 )
 from signalguard.functions.text import (
@@ -177,15 +178,11 @@ def stored_risks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles at six digits, so that two engines can be compared.
-
-    Floating-point noise is cut at the ninth digit first: a value that is half a unit
-    of the sixth digit in decimals then rounds up in every engine.
-    """
+    """Doubles at six digits, so that two engines can be compared."""
     kinds = dict(df.dtypes)
     return df.select(
         *[
-            F.round(F.round(c, 9), 6).alias(c) if kinds[c] == "double" else F.col(c)
+            round_half_up(F.col(c), 6).alias(c) if kinds[c] == "double" else F.col(c)
             for c in df.columns
         ]
     )
