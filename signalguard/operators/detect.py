@@ -151,9 +151,11 @@ def _one_partition_per_series(
     block = Window.partitionBy(*series, "_block")
     head = block.orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
     tail = block.orderBy(F.desc(ts)).rowsBetween(Window.unboundedPreceding, 0)
+    # Blocks follow time, so this is the order of ``whole``; it shares a sort with ``head``.
+    by_block = Window.partitionBy(*series).orderBy("_block", ts)
     df = df.withColumn("_tail", aggregate(F.col("_y"), _x(config), tail).struct())
     df = df.withColumn("_prefix", aggregate(F.col("_y"), _x(config), head).struct())
-    return df.withColumn("_carry", F.lag("_tail", n).over(whole))
+    return df.withColumn("_carry", F.lag("_tail", n).over(by_block))
 
 
 def _chunked_series(

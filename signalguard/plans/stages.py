@@ -50,21 +50,36 @@ class Watch:
         return list(self.labels)
 
 
+def windowed_signals(telemetry: DataFrame, watch: Watch) -> DataFrame:
+    """Readings to one wide row per entity and window."""
+    return average_signals(telemetry, watch.ts, watch.width, watch.entity, watch.signals)
+
+
 def signal_series(telemetry: DataFrame, watch: Watch) -> DataFrame:
-    """Wide readings to one windowed series per entity and signal."""
-    wide = average_signals(telemetry, watch.ts, watch.width, watch.entity, watch.signals)
+    """Readings to one windowed series per entity and signal."""
+    wide = windowed_signals(telemetry, watch)
     return unpivot_signals(wide, [watch.entity, "window_time"], watch.signals)
 
 
 def signal_anomalies(telemetry: DataFrame, watch: Watch) -> DataFrame:
     """Anomaly records of all signals; works on a batch and on a watermarked stream."""
-    series = signal_series(telemetry, watch)
-    keys = [watch.entity, "signal"]
-    args = (series, keys, "window_time", "observed_value", watch.band)
     if telemetry.isStreaming:
-        judged = stream_band(*args, only_anomalies=True)
+        judged = stream_band(
+            windowed_signals(telemetry, watch),
+            [watch.entity],
+            "window_time",
+            watch.signals,
+            watch.band,
+            only_anomalies=True,
+        )
     else:
-        judged = detect_anomalies(*args)
+        judged = detect_anomalies(
+            signal_series(telemetry, watch),
+            [watch.entity, "signal"],
+            "window_time",
+            "observed_value",
+            watch.band,
+        )
     return anomaly_records(judged, [watch.entity, "window_time", "signal"], sides=watch.sides)
 
 

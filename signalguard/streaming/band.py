@@ -13,19 +13,17 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from signalguard.operators.detect import BandConfig
 
-_MOMENTS = "n bigint, mx double, my double, sxx double, syy double, sxy double"
-
 
 class _Moments:
     """Running moments of (x, y); the batch operator's arithmetic on plain floats."""
 
     __slots__ = ("n", "mx", "my", "sxx", "syy", "sxy")
 
-    def __init__(self, n=0, mx=0.0, my=0.0, sxx=0.0, syy=0.0, sxy=0.0):
+    def __init__(self, n=0.0, mx=0.0, my=0.0, sxx=0.0, syy=0.0, sxy=0.0):
         self.n, self.mx, self.my = n, mx, my
         self.sxx, self.syy, self.sxy = sxx, syy, sxy
 
-    def row(self) -> tuple:
+    def numbers(self) -> tuple:
         return (self.n, self.mx, self.my, self.sxx, self.syy, self.sxy)
 
     def add(self, x: float | None, y: float | None) -> None:
@@ -55,6 +53,15 @@ class _Moments:
         )
 
 
+def _flat(moments: Sequence[_Moments]) -> list[float]:
+    """The state of all signals as one list of numbers."""
+    return [number for m in moments for number in m.numbers()]
+
+
+def _unflat(numbers: Sequence[float]) -> list[_Moments]:
+    return [_Moments(*numbers[i : i + 6]) for i in range(0, len(numbers), 6)]
+
+
 def _band(m: _Moments, config: BandConfig, z: float, x: float | None):
     """(forecast, upper, lower), or Nones before enough training."""
     if m.n < config.min_training:
@@ -70,139 +77,154 @@ def _band(m: _Moments, config: BandConfig, z: float, x: float | None):
     return forecast, forecast + z * spread, forecast - z * spread
 
 
-def _tails(block: list[tuple]) -> list[tuple]:
+def _tails(block: Sequence[tuple], signals: int) -> list[list[float]]:
     """For each place in a block, the moments from there to the block's end."""
-    tail, found = _Moments(), []
-    for point in reversed(block):
-        tail.add(*point)
-        found.append(tail.row())
+    running, found = [_Moments() for _ in range(signals)], []
+    for xs, ys in reversed(block):
+        for m, x, y in zip(running, xs, ys, strict=True):
+            m.add(x, y)
+        found.append(_flat(running))
     return found[::-1]
 
 
 class BandProcessor(StatefulProcessor):
-    """Keeps the history of one series and judges its rows in time order.
+    """Keeps the history of one key's signals and judges its rows in time order.
 
-    With a cap of N rows the state is the running block of at most N points and, for
-    the block before it, the moments of each of its tails.  A row costs one lookup and
-    one append; a full pass over the block happens once per N rows.
+    With a cap of N rows the state is the running block of at most N rows and, for the
+    block before it, the moments of each of its tails.  A row costs one lookup and one
+    append; a full pass over the block happens once per N rows.
     """
 
-    def __init__(self, config: BandConfig, key_names: Sequence[str], only_anomalies: bool):
+    def __init__(
+        self,
+        config: BandConfig,
+        key_names: Sequence[str],
+        signals: Sequence[str],
+        only_anomalies: bool,
+    ):
         self.config = config
         self.key_names = list(key_names)
+        self.signals = list(signals)
         self.only_anomalies = only_anomalies
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.head = handle.getValueState("head", f"row bigint, last double, {_MOMENTS}")
+        self.head = handle.getValueState(
+            "head", "row bigint, last array<double>, moments array<double>"
+        )
         if self.config.max_training is not None:
-            self.points = handle.getListState("points", "x double, y double")
-            self.tails = handle.getMapState("tails", "place int", _MOMENTS)
+            self.points = handle.getListState("points", "x array<double>, y array<double>")
+            self.tails = handle.getMapState("tails", "place int", "moments array<double>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows)).sort_values("at")
         config, cap, z = self.config, self.config.max_training, self.config.z
-        row, last, head = 0, None, _Moments()
+        width = len(self.signals)
+        row, last, head = 0, [None] * width, [_Moments() for _ in range(width)]
         if self.head.exists():
-            row, last, *moments = self.head.get()
-            head = _Moments(*moments)
+            row, last, numbers = self.head.get()
+            head = _unflat(numbers)
         fresh: list[tuple] = []
-        tails: list[tuple] | None = None  # of a block that ended in this call
+        tails: list[list[float]] | None = None  # of a block that ended in this call
         out: list[tuple] = []
-        for ts, hours, value in zip(batch["at"], batch["hours"], batch["y"], strict=True):
-            y = None if pd.isna(value) else float(value)
-            x = {"mean": 0.0, "trend": float(hours), "ar1": last}[config.model]
+        columns = [batch[f"y{i}"].to_list() for i in range(width)]
+        for ts, hours, *raw in zip(batch["at"], batch["hours"].to_list(), *columns, strict=True):
+            ys = [None if y is None or y != y else y for y in raw]
+            xs = last if config.model == "ar1" else [hours] * width
             if cap is not None and row and row % cap == 0:
                 stored = list(self.points.get()) if tails is None else []
-                tails = _tails([*stored, *fresh])
-                head, fresh = _Moments(), []
+                tails = _tails([*stored, *fresh], width)
+                head, fresh = [_Moments() for _ in range(width)], []
             history = head
             if cap is not None and row >= cap:
                 place = row % cap
-                tail = self.tails.getValue((place,)) if tails is None else tails[place]
-                history = _Moments(*tail).plus(head)
-            forecast, upper, lower = _band(history, config, z, x)
-            odd = y is not None and upper is not None and (y > upper or y < lower)
-            if odd or not self.only_anomalies:
-                out.append((ts, y, forecast, upper, lower, odd, history.n))
-            head.add(x, y)
+                tail = self.tails.getValue((place,))[0] if tails is None else tails[place]
+                history = [a.plus(b) for a, b in zip(_unflat(tail), head, strict=True)]
+            for signal, x, y, past in zip(self.signals, xs, ys, history, strict=True):
+                forecast, upper, lower = _band(past, config, z, x)
+                odd = y is not None and upper is not None and (y > upper or y < lower)
+                if odd or not self.only_anomalies:
+                    out.append((signal, ts, y, forecast, upper, lower, odd, int(past.n)))
+            for m, x, y in zip(head, xs, ys, strict=True):
+                m.add(x, y)
             if cap is not None:
-                fresh.append((x, y))
-            row, last = row + 1, y
+                fresh.append((xs, ys))
+            row, last = row + 1, ys
         if tails is not None:
             self.points.clear()
             # Only the places of rows still to come are read again.
             for place in range(row % cap or cap, cap):
-                self.tails.updateValue((place,), tails[place])
+                self.tails.updateValue((place,), (tails[place],))
         if fresh:
             self.points.appendList(fresh)
-        self.head.update((row, last, *head.row()))
+        self.head.update((row, last, _flat(head)))
         if out:
-            frame = pd.DataFrame(out, columns=_OUT_NAMES)
+            frame = pd.DataFrame(out, columns=_OUT.fieldNames())
             for name, part in zip(self.key_names, key, strict=True):
                 frame[name] = part
-            yield frame[self.key_names + _OUT_NAMES]
+            yield frame[self.key_names + _OUT.fieldNames()]
 
     def close(self) -> None:
         pass
 
 
-_OUT_NAMES = ["ts", "value", "forecast_value", "upper_bound", "lower_bound", "odd", "training_size"]
+_OUT = (
+    T.StructType()
+    .add("name", T.StringType())
+    .add("ts", T.TimestampType())
+    .add("value", T.DoubleType())
+    .add("forecast_value", T.DoubleType())
+    .add("upper_bound", T.DoubleType())
+    .add("lower_bound", T.DoubleType())
+    .add("is_anomaly", T.BooleanType())
+    .add("training_size", T.LongType())
+)
 
 
 def stream_band(
     df: DataFrame,
-    series: Sequence[str],
+    keys: Sequence[str],
     ts: str,
-    value: str,
+    values: str | Sequence[str],
     config: BandConfig = BandConfig(),
     out: str = "r",
     only_anomalies: bool = False,
 ) -> DataFrame:
-    """``detect_anomalies`` on a stream of windowed rows; columns: series, ts, value, ``out``.
+    """``detect_anomalies`` on a stream of windowed rows.
 
-    Put it after ``tumble``: windows close in event-time order, so a series' rows arrive
-    in order.  The time column stays usable for a further window.  ``only_anomalies``
-    drops the other rows before they leave the Python worker.  Needs the RocksDB state
-    store.
+    ``values`` is one column (long rows: the keys name the series; the column keeps its
+    name) or several (wide rows: each signal is a series of the key; they come out as
+    columns ``signal`` and ``observed_value``).  Wide rows cost one state access for all
+    signals of a key.  ``only_anomalies`` drops the other rows before they leave the
+    Python worker.
+
+    Put it after ``tumble``: windows close in event-time order, so the rows of a key
+    arrive in order, at most one per window.  The time column stays usable for a further
+    window.  Keys must not be NULL.  Needs the RocksDB state store.
     """
+    wide = not isinstance(values, str)
+    names = list(values) if wide else [values]
     origin = F.lit(config.time_origin).cast("timestamp")
     hours = (F.unix_micros(F.col(ts)) - F.unix_micros(origin)).cast("double") / F.lit(3.6e9)
     # The worker renames columns that start with an underscore.
     rows = df.select(
-        *series,
+        *keys,
         F.col(ts).alias("at"),
         hours.alias("hours"),
-        F.col(value).cast("double").alias("y"),
-    )
-    keys = [f for f in df.select(*series).schema.fields]
-    schema = T.StructType(
-        [
-            *keys,
-            T.StructField("ts", T.TimestampType()),
-            *[
-                T.StructField(n, T.DoubleType())
-                for n in ("value", "forecast_value", "upper_bound", "lower_bound")
-            ],
-            T.StructField("odd", T.BooleanType()),
-            T.StructField("training_size", T.LongType()),
-        ]
+        *[F.col(name).cast("double").alias(f"y{i}") for i, name in enumerate(names)],
     )
-    judged = rows.groupBy(*series).transformWithStateInPandas(
-        statefulProcessor=BandProcessor(config, series, only_anomalies),
-        outputStructType=schema,
+    judged = rows.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=BandProcessor(config, keys, names, only_anomalies),
+        outputStructType=T.StructType(df.select(*keys).schema.fields + _OUT.fields),
         outputMode="Append",
         timeMode="EventTime",
         eventTimeColumnName="ts",
     )
     return judged.select(
-        *series,
+        *keys,
+        *([F.col("name").alias("signal")] if wide else []),
         F.col("ts").alias(ts),
-        F.col("value").alias(value),
+        F.col("value").alias("observed_value" if wide else values),
         F.struct(
-            "forecast_value",
-            "upper_bound",
-            "lower_bound",
-            F.col("odd").alias("is_anomaly"),
-            "training_size",
+            "forecast_value", "upper_bound", "lower_bound", "is_anomaly", "training_size"
         ).alias(out),
     )
