@@ -1,0 +1,117 @@
+"""A small fleet end to end: clean history, then four vehicles drift on every sensor."""
+
+import datetime as dt
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from signalguard.plans.stages import Watch, act, anomaly_table, at_risk, diagnose, signal_anomalies
+from signalguard.schemas import (
+    AT_RISK,
+    COMPLETED_ACTIONS,
+    DIAGNOSED,
+    SENSOR_SIGNALS,
+    TELEMETRY,
+    TRUCK_ANOMALIES,
+)
+from signalguard.session import shared_dir
+from signalguard.sources.tables import create_table_as, require_not_null
+
+# Baseline, noise, decimals and drift per minute of each sensor.
+LAW = {
+    "engine_temp_c": (88.0, 1.2, 2, 2.5),
+    "oil_pressure_psi": (52.0, 0.8, 2, -1.5),
+    "vibration_g": (0.32, 0.04, 4, 0.045),
+    "tire_psi_avg": (102.0, 0.6, 2, -0.7),
+    "brake_pad_mm": (13.0, 0.05, 2, -0.04),
+    "fuel_efficiency_mpg": (7.2, 0.25, 2, -0.18),
+}
+HEALTHY = ["TRK-101", "TRK-289", "TRK-301", "TRK-503", "TRK-612", "TRK-744"]
+DRIFTING = ["TRK-112", "TRK-207", "TRK-356", "TRK-418"]
+LIVE = dt.datetime(2024, 3, 2)
+HISTORY_HOURS, LIVE_MINUTES, SECONDS_APART = 6, 10, 10
+
+
+@pytest.fixture(scope="module")
+def telemetry(spark):
+    rng = np.random.default_rng(11)
+    steps = (HISTORY_HOURS * 60 + LIVE_MINUTES) * 60 // SECONDS_APART
+    seconds = np.arange(steps) * SECONDS_APART - HISTORY_HOURS * 3600
+    drift_minutes = np.maximum(seconds / 60.0, 0.0)
+    frames = []
+    for truck in HEALTHY + DRIFTING:
+        frame = pd.DataFrame({"reading_ts": pd.Timestamp(LIVE) + pd.to_timedelta(seconds, "s")})
+        frame["truck_id"] = truck
+        frame["reading_id"] = [f"TLM-{i}" for i in range(steps)]
+        for name, (base, noise, decimals, drift) in LAW.items():
+            moved = drift * drift_minutes if truck in DRIFTING else 0.0
+            frame[name] = np.round(base + moved + rng.normal(0, noise, steps), decimals)
+        frame["rpm"] = np.clip(rng.normal(1600, 200, steps), 800, 2400).astype("int32")
+        frame["speed_mph"] = np.clip(rng.normal(58, 8, steps), 0, 75).round(1)
+        frame["ambient_temp_c"] = np.clip(rng.normal(24, 5, steps), -5, 42).round(1)
+        frames.append(frame)
+    table = pd.concat(frames)[TELEMETRY.fieldNames()]
+    df = spark.createDataFrame(table, TELEMETRY)
+    return create_table_as(df, shared_dir(spark, "fleet"), TELEMETRY)
+
+
+@pytest.fixture(scope="module")
+def tables(spark, telemetry):
+    watch = Watch()
+    clean = require_not_null(telemetry, TELEMETRY.fieldNames())
+    anomalies = create_table_as(
+        anomaly_table(signal_anomalies(clean, watch)), shared_dir(spark, "a"), TRUCK_ANOMALIES
+    )
+    risks = create_table_as(at_risk(anomalies, watch), shared_dir(spark, "r"), AT_RISK)
+    diagnosed = create_table_as(diagnose(risks, watch), shared_dir(spark, "d"), DIAGNOSED)
+    actions = create_table_as(act(diagnosed, watch), shared_dir(spark, "c"), COMPLETED_ACTIONS)
+    return anomalies, risks, diagnosed, actions
+
+
+def test_drift_is_seen_in_the_first_live_window(tables):
+    _, risks, _, _ = tables
+    first = risks.where(F.col("window_start") == F.lit(LIVE))
+    found = {r.truck_id: r for r in first.collect()}
+    assert set(DRIFTING) <= set(found)
+    for truck in DRIFTING:
+        assert found[truck].signals_tripped == 5
+        assert "brake_pad_mm" not in found[truck].tripped_signals
+        assert found[truck].engine_temp_c > 91
+
+
+def test_directions_follow_the_drift(tables):
+    anomalies, *_ = tables
+    live = anomalies.where(F.col("window_time") >= F.lit(LIVE) + F.expr("INTERVAL 3 MINUTES"))
+    seen = {(r.signal, r.direction) for r in live.where(F.col("truck_id").isin(DRIFTING)).collect()}
+    expected = {(s, "HIGH" if LAW[s][3] > 0 else "LOW") for s in LAW if s != "brake_pad_mm"}
+    assert expected <= seen
+
+
+def test_healthy_vehicles_rarely_escalate(tables):
+    _, risks, _, _ = tables
+    false = risks.where(F.col("truck_id").isin(HEALTHY)).count()
+    windows = len(HEALTHY) * (HISTORY_HOURS * 60 + LIVE_MINUTES - 200) / 5
+    assert false / windows < 0.01
+
+
+def test_every_risk_gets_a_diagnosis_and_an_action(tables):
+    _, risks, diagnosed, actions = tables
+    assert diagnosed.where("severity IS NULL OR likely_cause IS NULL").count() == 0
+    assert actions.count() == diagnosed.count() == risks.count()
+    row = actions.where(
+        (F.col("truck_id") == DRIFTING[0]) & (F.col("window_start") == F.lit(LIVE))
+    ).first()
+    assert row.severity == "CRITICAL"
+    assert row.dispatch_summary == "TRK-112 goes to SHOP-AUSTIN as URGENT."
+    assert '"parts_to_pre_stage": ["wheel bearing kit", "coolant pump"' in row.dispatch_json
+    assert row.api_response == "MOCKED: 200 OK"
+
+
+def test_six_signals_by_parameter(telemetry):
+    labels = {s: (s, 2, "") for s in SENSOR_SIGNALS}
+    watch = Watch(labels=labels)
+    risks = at_risk(signal_anomalies(telemetry, watch), watch)
+    tripped = risks.where(F.col("truck_id").isin(DRIFTING)).agg(F.max("signals_tripped")).first()
+    assert tripped[0] == 6
