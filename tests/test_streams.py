@@ -147,7 +147,8 @@ def test_late_rows_are_dropped_and_counted(spark):
     path = shared_dir(spark, "late")
     at = lambda m, s=0: START + dt.timedelta(minutes=m, seconds=s)
     write_file(spark, path, [("x", at(0, 10), 1.0, 0.0), ("x", at(0, 50), 3.0, 0.0)])
-    write_file(spark, path, [("x", at(1, 5), 5.0, 0.0)])  # watermark 1:00, window 0 closes
+    write_file(spark, path, [("x", at(1, 5), 5.0, 0.0)])  # the watermark becomes 1:00
+    write_file(spark, path, [("x", at(1, 10), 6.0, 0.0)])  # the first window comes out
     write_file(spark, path, [("x", at(0, 55), 99.0, 0.0), ("x", at(1, 30), 7.0, 0.0)])
     write_file(spark, path, [("x", at(5), 0.0, 0.0)])
     with stream_session(spark, 2):
