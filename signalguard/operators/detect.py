@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
@@ -109,62 +111,130 @@ def detect_anomalies(
     tasks, and the sums before each chunk are added to its rows.  Both ways agree up
     to floating-point rounding.
     """
-    work = df.withColumn("_y", F.col(value).cast("double"))
+    return _judge(df, list(series), ts, {out: value}, config, history_span)
+
+
+def detect_signals(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    signals: Sequence[str],
+    config: BandConfig = BandConfig(),
+    only_anomalies: bool = False,
+    history_span: str | None = None,
+) -> DataFrame:
+    """``detect_anomalies`` for every signal of wide rows: keys, ts, signal, observed_value, r.
+
+    Same rows as unpivoting first, but the wide rows are exchanged and sorted once for all
+    signals, and ``only_anomalies`` drops the rest before rows are made of the signals.
+    """
+    bands = {f"_r{i}": s for i, s in enumerate(signals)}
+    judged = _judge(df.select(*keys, ts, *signals), list(keys), ts, bands, config, history_span)
+    if only_anomalies:
+        judged = judged.where(
+            reduce(or_, [F.col(f"{band}.is_anomaly") for band in bands])
+        )
+    cells = [
+        F.struct(
+            F.lit(s).alias("signal"),
+            F.col(s).cast("double").alias("observed_value"),
+            F.col(band).alias("r"),
+        )
+        for band, s in bands.items()
+    ]
+    rows = judged.select(*keys, ts, F.inline(F.array(*cells)))
+    return rows.where(F.col("r.is_anomaly")) if only_anomalies else rows
+
+
+@dataclass(frozen=True)
+class _Slot:
+    """One signal: its value column and the names of its working columns."""
+
+    place: int
+    value: str
+    model: str
+
+    @property
+    def y(self) -> Column:
+        return F.col(self.value).cast("double")
+
+    @property
+    def x(self) -> str | None:
+        return {"mean": None, "trend": "_x", "ar1": f"_x{self.place}"}[self.model]
+
+    def moments(self, over=None, only: Column | None = None) -> Column:
+        y = self.y if only is None else F.when(only, self.y)
+        return aggregate(y, F.col(self.x) if self.x else None, over).struct()
+
+    def named(self, part: str) -> str:
+        return f"_{part}{self.place}"
+
+
+def _judge(
+    df: DataFrame,
+    keys: list[str],
+    ts: str,
+    bands: dict[str, str],
+    config: BandConfig,
+    span: str | None,
+) -> DataFrame:
+    """Add one band struct per value column; ``bands`` maps the struct's name to the value."""
+    slots = [_Slot(i, value, config.model) for i, value in enumerate(bands.values())]
+    work = df
     if config.model == "trend":
         work = work.withColumn("_x", hours_since(df, ts, config.time_origin))
-    if history_span is None:
-        work = _one_partition_per_series(work, list(series), ts, config)
+    if span is None:
+        work = _one_partition_per_key(work, keys, ts, slots, config)
     else:
-        work = _chunked_series(work, list(series), ts, config, history_span)
-    work = work.withColumn("_s", _state(work, config).struct())
-    return work.select(*df.columns, _band(read_moments("_s", config.paired), config).alias(out))
-
-
-def _x(config: BandConfig) -> Column | None:
-    return F.col("_x") if config.paired else None
+        work = _chunked(work, keys, ts, slots, config, span)
+    work = work.withColumns({s.named("state"): _state(work, s, config).struct() for s in slots})
+    return work.select(
+        *df.columns,
+        *[_band(s, config).alias(name) for s, name in zip(slots, bands, strict=True)],
+    )
 
 
-def _state(df: DataFrame, config: BandConfig) -> Moments:
+def _state(df: DataFrame, slot: _Slot, config: BandConfig) -> Moments:
     """History before each row: what the row's piece holds, plus what was carried in."""
-    here = read_moments("_prefix", config.paired)
-    if "_carry" not in df.columns:
+    here = read_moments(slot.named("prefix"), config.paired)
+    if slot.named("carry") not in df.columns:
         return here
-    return merge(read_moments("_carry", config.paired), here)
+    return merge(read_moments(slot.named("carry"), config.paired), here)
 
 
-def _one_partition_per_series(
-    df: DataFrame, series: list[str], ts: str, config: BandConfig
+def _one_partition_per_key(
+    df: DataFrame, keys: list[str], ts: str, slots: list[_Slot], config: BandConfig
 ) -> DataFrame:
-    """All windows hash on the series, so one exchange serves them all."""
-    whole = Window.partitionBy(*series).orderBy(ts)
+    """All windows hash on the keys, so one exchange serves them all."""
+    whole = Window.partitionBy(*keys).orderBy(ts)
     if config.model == "ar1":
-        df = df.withColumn("_x", F.lag("_y").over(whole))
+        df = df.withColumns({s.x: F.lag(s.y).over(whole) for s in slots})
     if config.max_training is None:
         earlier = whole.rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn("_prefix", aggregate(F.col("_y"), _x(config), earlier).struct())
+        return df.withColumns({s.named("prefix"): s.moments(earlier) for s in slots})
     # The last N rows before a row are a tail of the block of N rows before its own
     # block, and a head of its own block.  Both are running sums, and they merge
     # without subtracting, so the cost per row does not depend on N.
     n = config.max_training
     df = df.withColumn("_row", F.row_number().over(whole) - 1)
     df = df.withColumn("_block", F.floor(F.col("_row") / n))
-    block = Window.partitionBy(*series, "_block")
+    block = Window.partitionBy(*keys, "_block")
     head = block.orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
     tail = block.orderBy(F.desc(ts)).rowsBetween(Window.unboundedPreceding, 0)
     # Blocks follow time, so this is the order of ``whole``; it shares a sort with ``head``.
-    by_block = Window.partitionBy(*series).orderBy("_block", ts)
-    df = df.withColumn("_tail", aggregate(F.col("_y"), _x(config), tail).struct())
-    df = df.withColumn("_prefix", aggregate(F.col("_y"), _x(config), head).struct())
-    return df.withColumn("_carry", F.lag("_tail", n).over(by_block))
+    by_block = Window.partitionBy(*keys).orderBy("_block", ts)
+    df = df.withColumns({s.named("tail"): s.moments(tail) for s in slots})
+    df = df.withColumns({s.named("prefix"): s.moments(head) for s in slots})
+    return df.withColumns({s.named("carry"): F.lag(s.named("tail"), n).over(by_block) for s in slots})
 
 
-def _chunked_series(
-    df: DataFrame, series: list[str], ts: str, config: BandConfig, span: str
+def _chunked(
+    df: DataFrame, keys: list[str], ts: str, slots: list[_Slot], config: BandConfig, span: str
 ) -> DataFrame:
-    """The same history, with no task holding more than one chunk of a series."""
+    """The same history, with no task holding more than one chunk of a key."""
     # A struct key equals itself also where a field is NULL, so no series is lost.
     df = df.withColumns(
-        {"_key": F.struct(*series), "_chunk": F.window(F.col(ts), span).getField("start")}
+        {"_key": F.struct(*keys), "_chunk": F.window(F.col(ts), span).getField("start")}
     )
     chunk = Window.partitionBy("_key", "_chunk").orderBy(ts)
     chunks = Window.partitionBy("_key").orderBy("_chunk")
@@ -172,67 +242,75 @@ def _chunked_series(
 
     if config.model == "ar1" or config.max_training is not None:
         ends = df.groupBy("_key", "_chunk").agg(
-            F.count(F.lit(1)).alias("_rows"), F.max_by("_y", F.col(ts)).alias("_last")
+            F.count(F.lit(1)).alias("_rows"),
+            *[F.max_by(s.y, F.col(ts)).alias(s.named("last")) for s in slots],
         )
         ends = ends.select(
             "_key",
             "_chunk",
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_rows"),
-            F.lag("_last").over(chunks).alias("_last"),
+            *[F.lag(s.named("last")).over(chunks).alias(s.named("last")) for s in slots],
         )
         df = df.join(ends, ["_key", "_chunk"])
         place = F.row_number().over(chunk)
         df = df.withColumn("_row", F.col("_rows") + place - 1)
         if config.model == "ar1":
-            df = df.withColumn(
-                "_x", F.when(place == 1, F.col("_last")).otherwise(F.lag("_y").over(chunk))
+            first = place == 1
+            df = df.withColumns(
+                {
+                    s.x: F.when(first, F.col(s.named("last"))).otherwise(F.lag(s.y).over(chunk))
+                    for s in slots
+                }
             )
 
     if config.max_training is None:
         sums = df.groupBy("_key", "_chunk").agg(
-            aggregate(F.col("_y"), _x(config)).struct().alias("_sum")
+            *[s.moments().alias(s.named("sum")) for s in slots]
         )
         whole = chunks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        carry = running_total("_sum", config.paired, whole, before).struct()
-        df = df.join(
-            sums.select("_key", "_chunk", carry.alias("_carry")), ["_key", "_chunk"]
-        )
+        carries = [
+            running_total(s.named("sum"), config.paired, whole, before)
+            .struct()
+            .alias(s.named("carry"))
+            for s in slots
+        ]
+        df = df.join(sums.select("_key", "_chunk", *carries), ["_key", "_chunk"])
         earlier = chunk.rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn("_prefix", aggregate(F.col("_y"), _x(config), earlier).struct())
+        return df.withColumns({s.named("prefix"): s.moments(earlier) for s in slots})
 
     # Each row goes to its own block and, as a helper, to the next one, so a task
     # needs two blocks of N rows to know the N rows before every row of the second.
     n = config.max_training
-    df = df.withColumn("_block", F.floor(F.col("_row") / n)).withColumn(
-        "_to", F.explode(F.array(F.lit(0), F.lit(1)))
-    )
-    df = df.withColumn("_block", F.col("_block") + F.col("_to"))
+    df = df.withColumn("_helper", F.explode(F.array(F.lit(0), F.lit(1))))
+    df = df.withColumn("_block", F.floor(F.col("_row") / n) + F.col("_helper"))
     block = Window.partitionBy("_key", "_block")
-    own = F.when(F.col("_to") == 0, F.col("_y"))
-    helper = F.when(F.col("_to") == 1, F.col("_y"))
     head = block.orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     tail = block.orderBy(F.desc("_row")).rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("_tail", aggregate(helper, _x(config), tail).struct())
-    df = df.withColumn("_prefix", aggregate(own, _x(config), head).struct())
-    df = df.withColumn("_carry", F.lag("_tail", n).over(block.orderBy("_row")))
-    return df.where(F.col("_to") == 0)
+    helps = F.col("_helper") == 1
+    df = df.withColumns({s.named("tail"): s.moments(tail, only=helps) for s in slots})
+    df = df.withColumns({s.named("prefix"): s.moments(head, only=~helps) for s in slots})
+    df = df.withColumns(
+        {s.named("carry"): F.lag(s.named("tail"), n).over(block.orderBy("_row")) for s in slots}
+    )
+    return df.where(~helps)
 
 
-def _band(m: Moments, config: BandConfig) -> Column:
+def _band(slot: _Slot, config: BandConfig) -> Column:
+    m = read_moments(slot.named("state"), config.paired)
     n = m.n.cast("double")
     if config.model == "mean":
         forecast = m.my
         spread = F.sqrt(F.try_divide(m.syy, n - 1))
     else:
         slope = F.try_divide(m.sxy, F.nullif(m.sxx, F.lit(0.0)))
-        forecast = m.my + slope * (F.col("_x") - m.mx)
+        forecast = m.my + slope * (F.col(slot.x) - m.mx)
         rest = F.greatest(m.syy - slope * m.sxy, F.lit(0.0))
         spread = F.sqrt(F.try_divide(rest, n - 2))
     trained = m.n >= config.min_training
     half = F.lit(config.z) * spread
     upper = F.when(trained, forecast + half)
     lower = F.when(trained, forecast - half)
-    y = F.col("_y")
+    y = slot.y
     return F.struct(
         F.when(trained, forecast).alias("forecast_value"),
         upper.alias("upper_bound"),
