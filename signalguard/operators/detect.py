@@ -12,10 +12,8 @@ The band is ``forecast +- z * s`` with the sample deviation of the residuals.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +25,7 @@ from signalguard.functions.moments import (
     merge,
     read_moments,
     running_total,
+    state_columns,
 )
 from signalguard.functions.scalar import direction_label, hours_since, round_half_up
 
@@ -45,6 +44,9 @@ OPTION_NAMES = {
 }
 
 
+BAND_FIELDS = ("forecast_value", "upper_bound", "lower_bound", "is_anomaly", "training_size")
+
+
 @dataclass(frozen=True)
 class BandConfig:
     """Detector settings; ``max_training=None`` trains on the whole history."""
@@ -111,7 +113,14 @@ def detect_anomalies(
     tasks, and the sums before each chunk are added to its rows.  Both ways agree up
     to floating-point rounding.
     """
-    return _judge(df, list(series), ts, {out: value}, config, history_span)
+    judged = _judge(df, list(series), ts, {"_r0": value}, config, history_span)
+    # One-row generation keeps later filters on the result from being pushed below the
+    # arithmetic, which would then run once for the filter and again for the columns.
+    band = F.struct(*[F.col(f"_r0.{f}").alias(f"_{f}") for f in BAND_FIELDS])
+    rows = judged.select(*df.columns, F.inline(F.array(band)))
+    return rows.select(
+        *df.columns, F.struct(*[F.col(f"_{f}").alias(f) for f in BAND_FIELDS]).alias(out)
+    )
 
 
 def detect_signals(
@@ -126,24 +135,29 @@ def detect_signals(
     """``detect_anomalies`` for every signal of wide rows: keys, ts, signal, observed_value, r.
 
     Same rows as unpivoting first, but the wide rows are exchanged and sorted once for all
-    signals, and ``only_anomalies`` drops the rest before rows are made of the signals.
+    signals.  The paired models need six aggregates per signal and frame, too many for one
+    window operator to run compiled, so their signals do become rows first.
     """
+    if config.paired:
+        long = unpivot_signals(df, [*keys, ts], signals)
+        rows = detect_anomalies(
+            long, [*keys, "signal"], ts, "observed_value", config, history_span=history_span
+        )
+        return rows.where("r.is_anomaly") if only_anomalies else rows
     bands = {f"_r{i}": s for i, s in enumerate(signals)}
     judged = _judge(df.select(*keys, ts, *signals), list(keys), ts, bands, config, history_span)
-    if only_anomalies:
-        judged = judged.where(
-            reduce(or_, [F.col(f"{band}.is_anomaly") for band in bands])
-        )
     cells = [
         F.struct(
             F.lit(s).alias("signal"),
             F.col(s).cast("double").alias("observed_value"),
-            F.col(band).alias("r"),
+            *[F.col(f"{band}.{f}").alias(f) for f in BAND_FIELDS],
         )
         for band, s in bands.items()
     ]
     rows = judged.select(*keys, ts, F.inline(F.array(*cells)))
-    return rows.where(F.col("r.is_anomaly")) if only_anomalies else rows
+    if only_anomalies:
+        rows = rows.where("is_anomaly")
+    return rows.select(*keys, ts, "signal", "observed_value", F.struct(*BAND_FIELDS).alias("r"))
 
 
 @dataclass(frozen=True)
@@ -162,13 +176,22 @@ class _Slot:
     def x(self) -> str | None:
         return {"mean": None, "trend": "_x", "ar1": f"_x{self.place}"}[self.model]
 
-    def moments(self, over=None, only: Column | None = None) -> Column:
-        y = self.y if only is None else F.when(only, self.y)
-        return aggregate(y, F.col(self.x) if self.x else None, over).struct()
-
     def named(self, part: str) -> str:
         return f"_{part}{self.place}"
 
+    def moments(self, part: str, over=None, only: Column | None = None) -> dict[str, Column]:
+        y = self.y if only is None else F.when(only, self.y)
+        x = F.col(self.x) if self.x else None
+        return aggregate(y, x, over).columns(self.named(part))
+
+
+def _all(parts: Iterable[dict[str, Column]]) -> dict[str, Column]:
+    return {name: column for part in parts for name, column in part.items()}
+
+
+def _aliased(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
+
 
 def _judge(
     df: DataFrame,
@@ -187,7 +210,9 @@ def _judge(
         work = _one_partition_per_key(work, keys, ts, slots, config)
     else:
         work = _chunked(work, keys, ts, slots, config, span)
-    work = work.withColumns({s.named("state"): _state(work, s, config).struct() for s in slots})
+    work = work.withColumns(
+        _all(_state(work, s, config).columns(s.named("state")) for s in slots)
+    )
     return work.select(
         *df.columns,
         *[_band(s, config).alias(name) for s, name in zip(slots, bands, strict=True)],
@@ -197,7 +222,7 @@ def _judge(
 def _state(df: DataFrame, slot: _Slot, config: BandConfig) -> Moments:
     """History before each row: what the row's piece holds, plus what was carried in."""
     here = read_moments(slot.named("prefix"), config.paired)
-    if slot.named("carry") not in df.columns:
+    if f"{slot.named('carry')}_n" not in df.columns:
         return here
     return merge(read_moments(slot.named("carry"), config.paired), here)
 
@@ -211,7 +236,7 @@ def _one_partition_per_key(
         df = df.withColumns({s.x: F.lag(s.y).over(whole) for s in slots})
     if config.max_training is None:
         earlier = whole.rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumns({s.named("prefix"): s.moments(earlier) for s in slots})
+        return df.withColumns(_all(s.moments("prefix", earlier) for s in slots))
     # The last N rows before a row are a tail of the block of N rows before its own
     # block, and a head of its own block.  Both are running sums, and they merge
     # without subtracting, so the cost per row does not depend on N.
@@ -223,9 +248,19 @@ def _one_partition_per_key(
     tail = block.orderBy(F.desc(ts)).rowsBetween(Window.unboundedPreceding, 0)
     # Blocks follow time, so this is the order of ``whole``; it shares a sort with ``head``.
     by_block = Window.partitionBy(*keys).orderBy("_block", ts)
-    df = df.withColumns({s.named("tail"): s.moments(tail) for s in slots})
-    df = df.withColumns({s.named("prefix"): s.moments(head) for s in slots})
-    return df.withColumns({s.named("carry"): F.lag(s.named("tail"), n).over(by_block) for s in slots})
+    df = df.withColumns(_all(s.moments("tail", tail) for s in slots))
+    df = df.withColumns(_carried(slots, config, n, by_block))
+    return df.withColumns(_all(s.moments("prefix", head) for s in slots))
+
+
+def _carried(slots: list[_Slot], config: BandConfig, n: int, window) -> dict[str, Column]:
+    """The tail state of the row ``n`` places back."""
+    carried = {}
+    for s in slots:
+        tails = state_columns(s.named("tail"), config.paired)
+        names = state_columns(s.named("carry"), config.paired)
+        carried |= {c: F.lag(t, n).over(window) for t, c in zip(tails, names, strict=True)}
+    return carried
 
 
 def _chunked(
@@ -243,7 +278,7 @@ def _chunked(
     if config.model == "ar1" or config.max_training is not None:
         ends = df.groupBy("_key", "_chunk").agg(
             F.count(F.lit(1)).alias("_rows"),
-            *[F.max_by(s.y, F.col(ts)).alias(s.named("last")) for s in slots],
+            *[F.max_by(s.y, ts).alias(s.named("last")) for s in slots],
         )
         ends = ends.select(
             "_key",
@@ -264,19 +299,15 @@ def _chunked(
             )
 
     if config.max_training is None:
-        sums = df.groupBy("_key", "_chunk").agg(
-            *[s.moments().alias(s.named("sum")) for s in slots]
-        )
+        sums = df.groupBy("_key", "_chunk").agg(*_aliased(_all(s.moments("sum") for s in slots)))
         whole = chunks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        carries = [
-            running_total(s.named("sum"), config.paired, whole, before)
-            .struct()
-            .alias(s.named("carry"))
+        carries = _all(
+            running_total(s.named("sum"), config.paired, whole, before).columns(s.named("carry"))
             for s in slots
-        ]
-        df = df.join(sums.select("_key", "_chunk", *carries), ["_key", "_chunk"])
+        )
+        df = df.join(sums.select("_key", "_chunk", *_aliased(carries)), ["_key", "_chunk"])
         earlier = chunk.rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumns({s.named("prefix"): s.moments(earlier) for s in slots})
+        return df.withColumns(_all(s.moments("prefix", earlier) for s in slots))
 
     # Each row goes to its own block and, as a helper, to the next one, so a task
     # needs two blocks of N rows to know the N rows before every row of the second.
@@ -287,11 +318,9 @@ def _chunked(
     head = block.orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     tail = block.orderBy(F.desc("_row")).rowsBetween(Window.unboundedPreceding, 0)
     helps = F.col("_helper") == 1
-    df = df.withColumns({s.named("tail"): s.moments(tail, only=helps) for s in slots})
-    df = df.withColumns({s.named("prefix"): s.moments(head, only=~helps) for s in slots})
-    df = df.withColumns(
-        {s.named("carry"): F.lag(s.named("tail"), n).over(block.orderBy("_row")) for s in slots}
-    )
+    df = df.withColumns(_all(s.moments("tail", tail, only=helps) for s in slots))
+    df = df.withColumns(_carried(slots, config, n, block.orderBy("_row")))
+    df = df.withColumns(_all(s.moments("prefix", head, only=~helps) for s in slots))
     return df.where(~helps)
 
 

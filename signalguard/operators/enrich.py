@@ -50,7 +50,7 @@ def ml_predict(
 
     ``model_factory`` runs once per task and returns a function from a Series of
     prompts to a Series of answers, called with at most ``batch_size`` prompts.
-    ``tasks`` spreads few slow rows over that many tasks.
+    ``tasks`` is explained at ``spread``.
     """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -66,9 +66,18 @@ def ml_predict(
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     call = F.pandas_udf(run, T.StringType())
     text = F.col(prompt) if isinstance(prompt, str) else prompt
-    if tasks:
-        df = df.repartition(tasks)
-    return df.withColumn(out, call(text))
+    return spread(df, tasks).withColumn(out, call(text))
+
+
+def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Deal rows out evenly before slow calls: to all cores by default, not at all with 0.
+
+    Escalated rows are few and small, so the planner would put them into a handful of
+    partitions, and a hot entity's rows next to each other.
+    """
+    if tasks is None:
+        tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks) if tasks else df
 
 
 @dataclass(frozen=True)
@@ -181,10 +190,8 @@ def run_agent(
         "return": Iterator[pd.Series],
     }
     call = F.pandas_udf(run, T.StringType())
-    if tasks:
-        df = df.repartition(tasks)
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
-    return df.withColumn(out, call(as_column(text), as_column(key)))
+    return spread(df, tasks).withColumn(out, call(as_column(text), as_column(key)))
 
 
 def _nullable(values: pd.Series) -> list[str | None]:

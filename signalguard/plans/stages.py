@@ -21,7 +21,7 @@ from signalguard.functions.text import (
 from signalguard.operators.detect import (
     BandConfig,
     anomaly_records,
-    detect_anomalies,
+    detect_signals,
     unpivot_signals,
 )
 from signalguard.operators.dispatch import dispatch_agent
@@ -44,6 +44,7 @@ class Watch:
     rollup: str = "5 minutes"
     min_signals: int = 2
     null_text: str | None = NOT_AVAILABLE
+    history_span: str | None = None
 
     @property
     def signals(self) -> list[str]:
@@ -73,12 +74,14 @@ def signal_anomalies(telemetry: DataFrame, watch: Watch) -> DataFrame:
             only_anomalies=True,
         )
     else:
-        judged = detect_anomalies(
-            signal_series(telemetry, watch),
-            [watch.entity, "signal"],
+        judged = detect_signals(
+            windowed_signals(telemetry, watch),
+            [watch.entity],
             "window_time",
-            "observed_value",
+            watch.signals,
             watch.band,
+            only_anomalies=True,
+            history_span=watch.history_span,
         )
     return anomaly_records(judged, [watch.entity, "window_time", "signal"], sides=watch.sides)
 

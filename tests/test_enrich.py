@@ -45,7 +45,7 @@ def counting_model():
 def test_predict_batches_and_nulls(spark):
     rows = [(i, None if i == 3 else f"p{i}") for i in range(7)]
     df = spark.createDataFrame(rows, "id int, prompt string").coalesce(1)
-    got = {r.id: r.response for r in ml_predict(df, counting_model, "prompt", batch_size=4).collect()}
+    got = {r.id: r.response for r in ml_predict(df, counting_model, "prompt", batch_size=4, tasks=0).collect()}
     assert got[3] is None
     assert [got[i] for i in (0, 1, 2, 4)] == [f"P{i}/1/4" for i in (0, 1, 2, 4)]
     assert [got[i] for i in (5, 6)] == [f"P{i}/2/2" for i in (5, 6)]
@@ -53,7 +53,18 @@ def test_predict_batches_and_nulls(spark):
 
 def test_predict_spreads_over_tasks(spark):
     df = spark.range(40).select(F.col("id").cast("string").alias("prompt")).coalesce(1)
-    assert ml_predict(df, counting_model, "prompt", tasks=4).rdd.getNumPartitions() == 4
+    tasks = [
+        ml_predict(df, counting_model, "prompt", tasks=n)
+        .select(F.spark_partition_id().alias("p"), "response")
+        .groupBy("p")
+        .count()
+        .collect()
+        for n in (0, 3, None)
+    ]
+    cores = spark.sparkContext.defaultParallelism
+    assert [len(t) for t in tasks] == [1, 3, cores]
+    counts = [r["count"] for r in tasks[2]]
+    assert sum(counts) == 40 and max(counts) - min(counts) <= cores
 
 
 def test_rule_model():
