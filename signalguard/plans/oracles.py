@@ -283,6 +283,11 @@ actions AS (
 )"""
 ACTIONS = f"{LINE_RISKS}, {RULE_CTES}, {AGENT_CTES}"
 
+ACTION_ROWS = f"""WITH {ACTIONS}
+SELECT CAST(l_suppkey AS VARCHAR) AS l_suppkey, window_start, severity, likely_cause,
+       recommended_action, dispatch_summary, dispatch_json, api_response, raw_response
+FROM actions"""
+
 GAPPY = """
 gappy AS (
   SELECT event_id, CASE WHEN value < 60 THEN value END AS value,
@@ -602,10 +607,8 @@ SELECT *, json_extract_string(dispatch_json, '$.status') AS status FROM parsed""
     "diagnose_stage": _diagnosed_query(),
     "run_agent_rules": f"""WITH {ACTIONS}
 SELECT CAST(l_suppkey AS VARCHAR) AS l_suppkey, window_start, raw_response FROM actions""",
-    "action_stage": f"""WITH {ACTIONS}
-SELECT CAST(l_suppkey AS VARCHAR) AS l_suppkey, window_start, severity, likely_cause,
-       recommended_action, dispatch_summary, dispatch_json, api_response, raw_response
-FROM actions""",
+    "action_stage": ACTION_ROWS,
+    "stream_actions": f"{ACTION_ROWS} WHERE window_end <= {LINE_MARK}",
     "stream_tumble": f"""
 WITH windows AS (
 SELECT event_type AS signal, {_bucket('ts', '1 minute')} AS window_start,

@@ -80,7 +80,7 @@ from signalguard.sources.tables import (
     split_not_null,
 )
 from signalguard.streaming.band import stream_band
-from signalguard.streaming.run import run_to_end, stream_session
+from signalguard.streaming.run import run_to_end, start_written_steps, stream_session
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,8 +93,12 @@ LINEITEM = schema_of(
     "l_suppkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double, "
     "l_discount double, l_tax double, l_shipdate timestamp_ntz"
 )
+ACTIONS = schema_of(
+    "l_suppkey string, window_start timestamp_ntz, severity string, likely_cause string, "
+    "recommended_action string, dispatch_summary string, dispatch_json string, "
+    "api_response string, raw_response string"
+)
 CONVERSATIONS = schema_of("conv_id bigint, turn bigint, role string, text string")
-SUPPLIER = schema_of("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double")
 
 EVENT_SIGNALS = ("click", "error", "purchase", "signup", "view")
 LINE_LABELS = {
@@ -987,3 +991,22 @@ def stream_diagnose(spark, sf):
         anomalies = signal_anomalies(_line_stream(spark, sf), LINE_WATCH)
         diagnosed = diagnose(at_risk(anomalies, LINE_WATCH), LINE_WATCH)
         return _stored(spark, rounded(diagnosed), "stream_diagnose")
+
+
+@query
+def stream_actions(spark, sf):
+    """Escalations as they close, diagnosed and then acted on from the stored diagnosis."""
+    done = shared_dir(spark, "stream_actions")
+    steps = [
+        (shared_dir(spark, "stream_diagnosed"), lambda risks: diagnose(risks, LINE_WATCH)),
+        (done, lambda diagnosed: act(diagnosed, LINE_WATCH)),
+    ]
+    with stream_session(spark):
+        risks = at_risk(signal_anomalies(_line_stream(spark, sf), LINE_WATCH), LINE_WATCH)
+        plain = risks.withColumns(
+            {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+        )
+        checkpoint = shared_dir(spark, "stream_actions-checkpoint")
+        start_written_steps(plain, steps, checkpoint).awaitTermination()
+        # The folders of the batches show as one more column.
+        return scan(spark, done, ACTIONS).select(*ACTIONS.fieldNames())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,6 +59,27 @@ def start_actions(
     )
 
 
+def start_written_steps(
+    df: DataFrame,
+    steps: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]],
+    checkpoint: str,
+    **trigger,
+) -> StreamingQuery:
+    """Apply (path, step) pairs to each micro-batch; a step reads what the one before wrote.
+
+    For calls with cost or side effects: no call's result is used before it is stored.  A
+    batch owns the folder ``batch_id=<n>`` of each path and replaces it when retried.
+    """
+
+    def act(batch: DataFrame, batch_id: int) -> None:
+        for path, step in steps:
+            result, folder = step(batch), f"{path}/batch_id={batch_id}"
+            result.write.mode("overwrite").parquet(folder)
+            batch = scan(result.sparkSession, folder, result.schema)
+
+    return start_actions(df, act, checkpoint, **trigger)
+
+
 def run_to_end(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Process what is available into a table and return a scan of it."""
     start_table(df, path, checkpoint).awaitTermination()

@@ -14,7 +14,13 @@ from signalguard.schemas import schema_of
 from signalguard.session import shared_dir
 from signalguard.sources.tables import scan, scan_stream
 from signalguard.streaming.band import stream_band
-from signalguard.streaming.run import run_to_end, start_actions, start_table, stream_session
+from signalguard.streaming.run import (
+    run_to_end,
+    start_actions,
+    start_table,
+    start_written_steps,
+    stream_session,
+)
 
 START = dt.datetime(2024, 1, 1)
 READINGS = schema_of("k string, t timestamp, a double, b double")
@@ -180,6 +186,30 @@ def test_actions_per_micro_batch(spark, telemetry):
     assert done.select("batch_id").distinct().count() == 3
 
 
+def test_written_steps_are_stored_and_replaced(spark, telemetry):
+    """Each step reads the stored rows of the step before; a repeated batch adds nothing."""
+    first, second = shared_dir(spark, "first"), shared_dir(spark, "second")
+    seen = []
+
+    def upper(batch):
+        return batch.select(F.upper("k").alias("k"), "t")
+
+    def tagged(batch):
+        seen.extend(batch.inputFiles())
+        return batch.withColumn("tag", F.concat("k", F.lit("!")))
+
+    with stream_session(spark, 2):
+        for checkpoint in ("c1", "c2"):  # a new checkpoint replays all batches
+            stream = scan_stream(spark, telemetry, READINGS, files_per_trigger=3)
+            start_written_steps(
+                stream, [(first, upper), (second, tagged)], shared_dir(spark, checkpoint)
+            ).awaitTermination()
+    done = spark.read.parquet(second)
+    assert done.count() == batch_rows(spark, telemetry).count() + 1
+    assert {r.tag for r in done.select("tag").distinct().collect()} == {"X!", "Y!", "Z!", "FLUSH!"}
+    assert seen and all("/first-" in f for f in seen)
+
+
 def test_window_on_window_keeps_the_watermark(spark, telemetry):
     with stream_session(spark, 2):
         stream = scan_stream(spark, telemetry, READINGS, "t")
