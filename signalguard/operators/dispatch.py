@@ -87,26 +87,28 @@ def shop_lookup(
 ) -> DataFrame:
     """Add shop_id and eta_miles from a table of (entity, shop, miles).
 
-    Needs the columns of ``dispatch_policy``.  The table is reduced to the nearest shop
-    per entity before the join, so the right side is unique and a hot entity does not
-    multiply.  Rules that ask for a specialty look at shops of that specialty only.
-    Where no shop lies within the limit, ``fallback`` is used and eta_miles is NULL.
-    A rule without shop_rule gets no shop.
+    Needs the columns of ``dispatch_policy``.  The table is reduced to one row per entity
+    before the join, in one pass: its nearest shop, and the nearest for each cause that
+    parts are known for.  So the right side is unique and a hot entity does not multiply.
+    Rules that ask for a specialty look at shops of that specialty only.  Where no shop
+    lies within the limit, ``fallback`` is used and eta_miles is NULL.  A rule without
+    shop_rule gets no shop.
     """
-    near = F.min(F.struct(F.col(miles).alias("miles"), F.col(shop).alias("shop")))
-    nearest = centers.groupBy(entity).agg(near.alias("_any"))
-    found = df.join(nearest, entity, "left")
+    offer = F.struct(F.col(miles).alias("miles"), F.col(shop).alias("shop"))
+    nearest = [F.min(offer).alias("_any")]
     chosen = F.col("_any")
     if specialty is not None:
-        special = centers.groupBy(entity, F.col(specialty).alias("_specialty")).agg(
-            near.alias("_special")
-        )
-        found = found.withColumn("_specialty", main_cause(F.col(cause))).join(
-            special, [entity, "_specialty"], "left"
-        )
-        chosen = F.when(
-            F.col("shop_rule").contains("specialty"), F.col("_special")
-        ).otherwise(F.col("_any"))
+        fitting = F.lit(None)
+        for i, word in reversed(list(enumerate(PARTS_BY_CAUSE))):
+            special = F.min(F.when(F.col(specialty) == word, offer))
+            nearest.append(special.alias(f"_near{i}"))
+            fitting = F.when(main_cause(F.col(cause)) == word, F.col(f"_near{i}")).otherwise(
+                fitting
+            )
+        chosen = F.when(F.col("shop_rule").contains("specialty"), fitting).otherwise(chosen)
+    found = df.join(centers.groupBy(entity).agg(*nearest), entity, "left")
+    found = found.withColumn("_shop", chosen)
+    chosen = F.col("_shop")
     within = F.coalesce(chosen["miles"] <= F.col("max_eta_miles"), F.lit(True))
     usable = F.col("shop_rule").isNotNull() & chosen.isNotNull() & within
     return found.select(

@@ -17,12 +17,21 @@ def tumble(
     window and task.  ``window_time`` is the last instant of the window and keeps the
     watermark of a stream; use ``public_window_time`` on it after the last window.
     """
-    grouped = df.groupBy(F.window(F.col(ts), width).alias("window"), *keys).agg(*aggregates)
+    if df.isStreaming:
+        grouped = df.groupBy(F.window(F.col(ts), width).alias("window"), *keys).agg(*aggregates)
+        start, end, last = F.col("window.start"), F.col("window.end"), F.window_time("window")
+    else:
+        # Without a watermark to carry, the start alone is the key: a plain timestamp goes
+        # through the fast path of the hash aggregate, a struct does not.
+        opened = df.withColumn("_start", F.window(F.col(ts), width).getField("start"))
+        grouped = opened.groupBy("_start", *keys).agg(*aggregates)
+        start, end = F.col("_start"), F.window(F.col("_start"), width).getField("end")
+        last = end - F.expr("INTERVAL '0.000001' SECOND")
     return grouped.select(
         *keys,
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        F.window_time("window").alias("window_time"),
+        start.alias("window_start"),
+        end.alias("window_end"),
+        last.alias("window_time"),
         *grouped.columns[1 + len(keys) :],
     )
 
