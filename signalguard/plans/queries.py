@@ -36,7 +36,6 @@ from signalguard.operators.detect import (
     anomaly_records,
     detect_anomalies,
     union_branches,
-    unpivot_signals,
 )
 from signalguard.operators.dispatch import (
     dispatch_json,
@@ -353,7 +352,9 @@ def fanout_unpivot(spark, sf):
 @query
 def struct_access(spark, sf):
     judged = event_bands(event_series(spark, sf))
-    return shown(judged.select("user_id", "signal", "window_time", "r.upper_bound", "r.lower_bound"))
+    return shown(
+        judged.select("user_id", "signal", "window_time", "r.upper_bound", "r.lower_bound")
+    )
 
 
 @query

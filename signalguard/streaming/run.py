@@ -18,8 +18,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 def stream_session(spark: SparkSession, state_partitions: int | None = None):
     """UTC, RocksDB state, and a fixed number of state partitions while a job is started.
 
-    Micro-batches upload the changes of the state, not whole snapshots of it.  The number of state partitions is fixed for the life of a checkpoint; by default it
-    is the cluster's core count.
+    Micro-batches upload the changes of the state, not whole snapshots of it.  The number
+    of state partitions is fixed for the life of a checkpoint; by default it is the
+    cluster's core count.
     """
     parts = state_partitions or spark.sparkContext.defaultParallelism
     with settings(
