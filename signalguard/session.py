@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder every executor can reach.
+    """The path of a folder, not yet made, that every executor can reach.
 
     It lies under ``spark.checkpoint.dir``.  Where that is unset a machine-local
     folder is used, but only in local mode, where driver and executors share it.
@@ -20,7 +20,7 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix=f"{label}-")
+    return f"{tempfile.mkdtemp(prefix=f'{label}-')}/table"
 
 
 @contextmanager
