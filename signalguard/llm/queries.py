@@ -13,13 +13,14 @@ from signalguard.llm import (
     decontam,
     fuzzy_lines,
     langid,
+    ngram_lm,
     quality_knn,
     rules,
     simhash,
     substring,
     token_files,
 )
-from signalguard.llm.base import is_fold, fold, table
+from signalguard.llm.base import fold, is_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -113,6 +114,23 @@ def op8_fuzzy_lines(spark, sf):
     )
 
 
+@query
+def op9_language_model(spark, sf):
+    """Trie scores of every document, learnt outside the held-out seventh."""
+    docs = table(spark, sf, "documents")
+    model = ngram_lm.learn(docs.where(fold("doc_id", 7) != 2))
+    scored = ngram_lm.score_texts(docs, model)
+    return scored.select(
+        "doc_id",
+        is_fold("doc_id", 7, 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @query
 def op10_bpe(spark, sf):
     """Byte-level BPE ids by distinct words, and their decoding."""
