@@ -275,7 +275,10 @@ def _merged(passes: list[DataFrame], names: list[str]) -> DataFrame:
     return merged.withColumn("_n_hit", hit)
 
 
-def remove_contaminated(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """The documents that are not contaminated; a document of NULL id stays."""
-    bad = found.where("contaminated").select(F.col(doc_id).alias("_bad")).distinct()
-    return docs.join(bad, F.col(doc_id) == F.col("_bad"), "left_anti")
+def remove_contaminated(
+    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options
+) -> DataFrame:
+    """The documents, all columns, that are not contaminated; rows are judged one by one."""
+    rest = [c for c in docs.columns if c != doc_id]
+    found = find_contamination(docs, items, doc_id, text, keep=rest, **options)
+    return found.where(~F.col("contaminated")).select(*docs.columns)

@@ -54,9 +54,10 @@ def _fingerprints(shingle: int):
             found = [
                 fingerprint(t, shingle) for _, texts in pieces(batch, "_text") for t in texts
             ]
+            bits = pa.array(np.array(found, dtype="<u8").view("<i8"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(found, dtype="<u8").view("<i8"))],
-                names=["doc_id", "bits"],
+                [batch.column("doc_id"), batch.column("version"), bits],
+                names=["doc_id", "version", "bits"],
             )
 
     return run
@@ -213,6 +214,24 @@ def find_links(distinct: DataFrame, most: int = 3, cell: int = _CELL) -> DataFra
     )
 
 
+def _grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, most: int) -> DataFrame:
+    """doc_id, version (hash of the text), bits and component (a fingerprint) of every row."""
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), utf8(text).alias("_text")
+    )
+    kind = docs.schema[doc_id].dataType.simpleString()
+    marked = stored(
+        rows.mapInArrow(_fingerprints(shingle), f"doc_id {kind}, version bigint, bits bigint"),
+        "fingerprints",
+    )
+    distinct = stored(marked.select("bits").distinct(), "distinct_fingerprints")
+    found = components(find_links(distinct, most))
+    named = distinct.join(found, distinct["bits"] == found["node"], "left").select(
+        "bits", F.coalesce("component", "bits").alias("component")
+    )
+    return marked.join(named, "bits")
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -227,22 +246,36 @@ def near_duplicates(
     group of such rows alone has a NULL component.  Equal fingerprints are compared once,
     however many documents have them.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("_text"))
-    kind = docs.schema[doc_id].dataType.simpleString()
-    marked = stored(
-        rows.mapInArrow(_fingerprints(shingle), f"doc_id {kind}, bits bigint"), "fingerprints"
-    )
-    distinct = stored(
-        marked.groupBy("bits").agg(F.min("doc_id").alias("first")), "distinct_fingerprints"
-    )
-    found = components(find_links(distinct.select("bits"), most))
-    named = distinct.join(found, distinct["bits"] == found["node"], "left").select(
-        "bits", "first", F.coalesce("component", "bits").alias("component")
-    )
-    groups = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_bits = named.join(groups, "component").select("bits", "component_id")
-    return marked.join(of_bits, "bits").select(
+    grouped = stored(_grouped(docs, doc_id, text, shingle, most), "document_groups")
+    names = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return grouped.join(names, "component").select(
         F.col("doc_id").alias(doc_id),
         F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def one_per_group(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    most: int = 3,
+) -> DataFrame:
+    """One document of each group, with all columns: the one of least id, NULL ids last.
+
+    Of rows with the same id in a group the one of least text hash stays, once.
+    """
+    grouped = _grouped(docs, doc_id, text, shingle, most)
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "version")
+    first = grouped.groupBy("component").agg(F.min(rank).alias("_first"))
+    winners = first.select(
+        F.struct("_first.last", "_first.doc_id", "_first.version").alias("_row")
+    ).distinct()
+    row = F.struct(
+        F.col(doc_id).isNull().alias("last"),
+        F.col(doc_id).alias("doc_id"),
+        F.xxhash64(text).alias("version"),
+    )
+    kept = docs.withColumn("_row", row).join(winners, "_row", "left_semi")
+    return kept.dropDuplicates(["_row"]).select(*docs.columns)
