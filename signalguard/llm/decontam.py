@@ -7,10 +7,11 @@ has.  Where that run is at least a window long, the last window of it is an occu
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalguard.llm.base import Shared, pieces, utf8
@@ -208,33 +209,48 @@ def find_contamination(
     (about half a kilobyte each), and more items mean more passes over the documents, whose
     results are merged by position.  Items of equal id count once; NULL ids read ``None``.
     """
-    spark = docs.sparkSession
     names = [doc_id, *keep]
+    done = _found(docs, items, names, text, item_id, item_text, window, block_words)
+    return done.select(
+        *[F.col(f"_k{i}").alias(c) for i, c in enumerate(names)],
+        F.col("_n_words").alias("n_words"),
+        F.col("_n_hit").alias("n_hit"),
+        F.col("_item_ids").alias("item_ids"),
+        F.col("_spans").alias("spans"),
+        _contaminated(share).alias("contaminated"),
+    )
+
+
+def _contaminated(share: tuple[int, int]) -> Column:
+    part, whole = share
+    n_words, n_hit = F.col("_n_words"), F.col("_n_hit")
+    return (n_hit > 0) & (n_hit * whole >= n_words * part)
+
+
+def _found(
+    docs: DataFrame,
+    items: DataFrame,
+    names: Sequence[str],
+    text: str,
+    item_id: str,
+    item_text: str,
+    window: int,
+    block_words: int,
+) -> DataFrame:
+    spark = docs.sparkSession
     rows = docs.select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(names)], utf8(text).alias("_text")
     )
     kinds = ", ".join(f"_k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
     wanted = items.select(F.col(item_id).cast("string"), utf8(item_text))
     blocks = [
-        Shared(spark, Automaton(block, window))
-        for block in _blocks(wanted, block_words)
+        Shared(spark, Automaton(block, window)) for block in _blocks(wanted, block_words)
     ]
     if len(blocks) == 1:
-        done = rows.mapInArrow(_stream(blocks[0]), f"{kinds}, {_OUT}")
-    else:
-        rows = rows.withColumn("_digest", F.sha2("_text", 256))
-        schema = f"{kinds}, _digest string, {_OUT}"
-        done = _merged([rows.mapInArrow(_stream(b), schema) for b in blocks], names)
-    part, whole = share
-    n_words, n_hit = F.col("_n_words"), F.col("_n_hit")
-    return done.select(
-        *[F.col(f"_k{i}").alias(c) for i, c in enumerate(names)],
-        n_words.alias("n_words"),
-        n_hit.alias("n_hit"),
-        F.col("_item_ids").alias("item_ids"),
-        F.col("_spans").alias("spans"),
-        ((n_hit > 0) & (n_hit * whole >= n_words * part)).alias("contaminated"),
-    )
+        return rows.mapInArrow(_stream(blocks[0]), f"{kinds}, {_OUT}")
+    rows = rows.withColumn("_digest", F.sha2("_text", 256))
+    schema = f"{kinds}, _digest string, {_OUT}"
+    return _merged([rows.mapInArrow(_stream(b), schema) for b in blocks], list(names))
 
 
 def _merged(passes: list[DataFrame], names: list[str]) -> DataFrame:
@@ -276,9 +292,80 @@ def _merged(passes: list[DataFrame], names: list[str]) -> DataFrame:
 
 
 def remove_contaminated(
-    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", **options
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = 13,
+    share: tuple[int, int] = (1, 20),
+    block_words: int = 200_000,
 ) -> DataFrame:
     """The documents, all columns, that are not contaminated; rows are judged one by one."""
-    rest = [c for c in docs.columns if c != doc_id]
-    found = find_contamination(docs, items, doc_id, text, keep=rest, **options)
-    return found.where(~F.col("contaminated")).select(*docs.columns)
+    names = docs.columns
+    found = _found(docs, items, names, text, item_id, item_text, window, block_words)
+    return found.where(~_contaminated(share)).select(
+        *[F.col(f"_k{i}").alias(c) for i, c in enumerate(names)]
+    )
+
+
+def remove_spans(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = 13,
+    share: tuple[int, int] = (1, 20),
+    block_words: int = 200_000,
+) -> DataFrame:
+    """All documents, all columns, with the covered words cut out of contaminated texts.
+
+    A cut reaches from a span's first word to the next word after it.
+    """
+    names = docs.columns
+    found = _found(docs, items, names, text, item_id, item_text, window, block_words)
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [
+                t if t is None else without(t, [(s["start"], s["end"]) for s in spans])
+                for t, spans in zip(
+                    batch.column("_cut").to_pylist(), batch.column("_spans").to_pylist(), strict=True
+                )
+            ]
+            rest = [c for c in batch.schema.names if c not in ("_cut", "_spans")]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in rest), pa.array(texts, pa.string())],
+                names=[*rest, "_cut"],
+            )
+
+    at = names.index(text)
+    held = [f"_k{i}" for i in range(len(names)) if i != at]
+    rows = found.select(
+        *held,
+        F.col(f"_k{at}").cast("string").alias("_cut"),
+        F.when(_contaminated(share), F.col("_spans")).otherwise(F.array()).alias("_spans"),
+    )
+    kinds = "".join(f"{h} {rows.schema[h].dataType.simpleString()}, " for h in held)
+    done = rows.mapInArrow(cut, f"{kinds}_cut string")
+    return done.select(
+        *[
+            F.col("_cut" if i == at else f"_k{i}").alias(c)
+            for i, c in enumerate(names)
+        ]
+    )
+
+
+def without(text: str, spans: Sequence[tuple[int, int]]) -> str:
+    """The text without the words of the ranges ``[start, end)``."""
+    if not spans:
+        return text
+    folded = text.encode("utf-8").translate(_FOLD)
+    raw = text.encode("utf-8")
+    starts = [m.start() for m in re.finditer(rb"[^ ]+", folded)] + [len(raw)]
+    out, done = [], 0
+    for a, b in spans:
+        out.append(raw[done : starts[a]])
+        done = starts[b]
+    return b"".join([*out, raw[done:]]).decode("utf-8")

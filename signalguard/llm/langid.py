@@ -305,7 +305,8 @@ def _score(model_file: str, langs: Sequence[str], chances: np.ndarray):
             scores: list[float] = []
             for _, texts in pieces(batch, "_text"):
                 split = [words_of(t) for t in texts]
-                known.of(set().union(*split))
+                if langs:
+                    known.of(set().union(*split))
                 for words in split:
                     if not words or not langs:
                         names.append(UNDETERMINED)
