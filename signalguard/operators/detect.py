@@ -12,6 +12,7 @@ The band is ``forecast +- z * s`` with the sample deviation of the residuals.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from statistics import NormalDist
@@ -170,7 +171,8 @@ class _Slot:
 
     @property
     def y(self) -> Column:
-        return F.col(self.value).cast("double")
+        """NaN is a missing reading: Spark sorts it above every number, so it would trip."""
+        return F.nanvl(F.col(self.value).cast("double"), F.lit(None).cast("double"))
 
     @property
     def x(self) -> str | None:
@@ -263,14 +265,25 @@ def _carried(slots: list[_Slot], config: BandConfig, n: int, window) -> dict[str
     return carried
 
 
+# Hours of the units of a span.
+_UNIT_HOURS = {"second": 1 / 3600, "minute": 1 / 60, "hour": 1.0, "day": 24.0, "week": 168.0}
+
+
+def _hours_of(span: str) -> float:
+    found = re.fullmatch(r"\s*(\d+)\s+(second|minute|hour|day|week)s?\s*", span.lower())
+    if not found or not int(found[1]):
+        raise ValueError(f"a history span is a number and a unit, such as '7 days'; got {span!r}")
+    return int(found[1]) * _UNIT_HOURS[found[2]]
+
+
 def _chunked(
     df: DataFrame, keys: list[str], ts: str, slots: list[_Slot], config: BandConfig, span: str
 ) -> DataFrame:
     """The same history, with no task holding more than one chunk of a key."""
-    # A struct key equals itself also where a field is NULL, so no series is lost.
-    df = df.withColumns(
-        {"_key": F.struct(*keys), "_chunk": F.window(F.col(ts), span).getField("start")}
-    )
+    # A struct equals itself also where a field is NULL, so no series and no row is lost.
+    hours = hours_since(df, ts, config.time_origin)
+    number = F.floor(hours / F.lit(_hours_of(span)))
+    df = df.withColumns({"_key": F.struct(*keys), "_chunk": F.struct(number.alias("n"))})
     chunk = Window.partitionBy("_key", "_chunk").orderBy(ts)
     chunks = Window.partitionBy("_key").orderBy("_chunk")
     before = chunks.rowsBetween(Window.unboundedPreceding, -1)
@@ -278,7 +291,7 @@ def _chunked(
     if config.model == "ar1" or config.max_training is not None:
         ends = df.groupBy("_key", "_chunk").agg(
             F.count(F.lit(1)).alias("_rows"),
-            *[F.max_by(s.y, ts).alias(s.named("last")) for s in slots],
+            *[F.max_by(s.y, F.struct(ts)).alias(s.named("last")) for s in slots],
         )
         ends = ends.select(
             "_key",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -62,17 +64,26 @@ def dispatch_policy(df: DataFrame, severity: str = "severity", rules=SEVERITY_RU
     )
 
 
+def _plain(text: str) -> str:
+    return re.sub(r"[\s_-]+", " ", text.lower())
+
+
+def plain_words(text: Column) -> Column:
+    """Lower case, with a single space for runs of spaces, underscores and hyphens."""
+    return F.regexp_replace(F.lower(text), r"[\s_-]+", " ")
+
+
 def parts_for(cause: Column, parts: Mapping[str, str] = PARTS_BY_CAUSE) -> Column:
     """Array of the parts whose keyword occurs in the cause; empty if none does."""
-    low = F.lower(F.coalesce(cause, F.lit("")))
-    hits = [F.when(low.contains(word), part) for word, part in parts.items()]
+    low = plain_words(F.coalesce(cause, F.lit("")))
+    hits = [F.when(low.contains(_plain(word)), part) for word, part in parts.items()]
     return F.array_compact(F.array(*hits))
 
 
 def main_cause(cause: Column, parts: Mapping[str, str] = PARTS_BY_CAUSE) -> Column:
     """First listed keyword that occurs in the cause."""
-    low = F.lower(cause)
-    return F.coalesce(*[F.when(low.contains(word), word) for word in parts])
+    low = plain_words(cause)
+    return F.coalesce(*[F.when(low.contains(_plain(word)), word) for word in parts])
 
 
 def shop_lookup(
@@ -90,27 +101,33 @@ def shop_lookup(
     Needs the columns of ``dispatch_policy``.  The table is reduced to one row per entity
     before the join, in one pass: its nearest shop, and the nearest for each cause that
     parts are known for.  So the right side is unique and a hot entity does not multiply.
-    Rules that ask for a specialty look at shops of that specialty only.  Where no shop
-    lies within the limit, ``fallback`` is used and eta_miles is NULL.  A rule without
-    shop_rule gets no shop.
+    Rules that ask for a specialty take the nearest shop of that specialty, and the nearest
+    of any where none of it lies within the limit.  A shop of unknown distance is never
+    within a limit; without one it comes after all others.  Where no shop lies within the
+    limit, ``fallback`` is used and eta_miles is NULL.  A rule without shop_rule gets no
+    shop.
     """
-    offer = F.struct(F.col(miles).alias("miles"), F.col(shop).alias("shop"))
+    offer = F.struct(
+        F.col(miles).isNull().alias("unknown"),
+        F.col(miles).alias("miles"),
+        F.col(shop).alias("shop"),
+    )
     nearest = [F.min(offer).alias("_any")]
     chosen = F.col("_any")
     if specialty is not None:
-        fitting = F.lit(None)
+        fitting = F.lit(None).cast(centers.select(offer.alias("o")).schema["o"].dataType)
         for i, word in reversed(list(enumerate(PARTS_BY_CAUSE))):
             special = F.min(F.when(F.col(specialty) == word, offer))
             nearest.append(special.alias(f"_near{i}"))
             fitting = F.when(main_cause(F.col(cause)) == word, F.col(f"_near{i}")).otherwise(
                 fitting
             )
-        chosen = F.when(F.col("shop_rule").contains("specialty"), fitting).otherwise(chosen)
+        special = F.col("shop_rule").contains("specialty") & _within(fitting["miles"])
+        chosen = F.when(special & fitting.isNotNull(), fitting).otherwise(chosen)
     found = df.join(centers.groupBy(entity).agg(*nearest), entity, "left")
     found = found.withColumn("_shop", chosen)
     chosen = F.col("_shop")
-    within = F.coalesce(chosen["miles"] <= F.col("max_eta_miles"), F.lit(True))
-    usable = F.col("shop_rule").isNotNull() & chosen.isNotNull() & within
+    usable = F.col("shop_rule").isNotNull() & chosen.isNotNull() & _within(chosen["miles"])
     return found.select(
         *df.columns,
         F.when(usable, chosen["shop"])
@@ -120,6 +137,12 @@ def shop_lookup(
     )
 
 
+def _within(miles: Column) -> Column:
+    """Only a missing limit is no limit; a missing distance is beyond any."""
+    limit = F.col("max_eta_miles")
+    return limit.isNull() | F.coalesce(miles <= limit, F.lit(False))
+
+
 def dispatch_json(
     entity: str, parts: str = "parts_to_pre_stage", diagnosis: str = "likely_cause"
 ) -> Column:
@@ -139,25 +162,65 @@ def dispatch_json(
 # --- the same policy as an agent that calls tools ---------------------------------
 
 
-def _order(fields: dict[str, str], shops: Observation) -> tuple[SeverityRule, dict]:
+# Free text may hold anything, so fields are told apart by their fixed order.
+_INPUT = re.compile(
+    r"\A[A-Za-z_][A-Za-z0-9_]*: (?P<truck_id>.*?), severity: (?P<severity>\w*), "
+    r"likely_cause: (?P<likely_cause>.*?), recommended_action: ",
+    re.DOTALL,
+)
+
+
+def dispatch_fields(text: str) -> dict[str, str]:
+    """Vehicle, severity and cause of an agent input."""
+    found = _INPUT.match(text)
+    return found.groupdict() if found else input_fields(text)
+
+
+def offers_of(reply: Observation) -> list[dict] | None:
+    """The shops of a reply, or None where it is no list of shops."""
+    if not reply.ok:
+        return None
+    try:
+        offers = json.loads(reply.text)
+    except (TypeError, ValueError):
+        return None
+    if not isinstance(offers, list) or not all(isinstance(o, dict) for o in offers):
+        return None
+    return [o for o in offers if o.get("shop_id")]
+
+
+def _distance(offer: dict) -> float:
+    miles = offer.get("miles")
+    known = isinstance(miles, (int, float)) and not isinstance(miles, bool) and miles == miles
+    return float(miles) if known else math.inf
+
+
+def _choose(rule: SeverityRule, known: list[str], offers: list[dict]) -> dict:
+    """The rules of ``shop_lookup`` on one list of shops."""
+    if rule.shop_rule is None:
+        return {}
+    if rule.max_eta_miles is not None:
+        offers = [o for o in offers if _distance(o) <= rule.max_eta_miles]
+    if "specialty" in rule.shop_rule:
+        offers = [o for o in offers if o.get("specialty") in known[:1]] or offers
+    place = lambda o: (_distance(o), str(o["shop_id"]))
+    return min(offers, key=place, default={"shop_id": FALLBACK_SHOPS[0]})
+
+
+def _order(fields: dict[str, str], shops: Observation) -> tuple[SeverityRule | None, dict]:
     severity = fields.get("severity", "").upper()
-    rule = next((r for r in SEVERITY_RULES if r.severity == severity), SEVERITY_RULES[-1])
+    rule = next((r for r in SEVERITY_RULES if r.severity == severity), None)
     cause = fields.get("likely_cause", "")
-    known = [word for word in PARTS_BY_CAUSE if word in cause.lower()]
-    offers = json.loads(shops.text) if shops.ok else [{"shop_id": s} for s in FALLBACK_SHOPS]
-    limit = float("inf") if rule.max_eta_miles is None else rule.max_eta_miles
-    fits = [o for o in offers if o.get("miles", 0) <= limit]
-    if rule.shop_rule and "specialty" in rule.shop_rule:
-        fits = [o for o in fits if o.get("specialty") in known] or fits
-    fits = fits or [{"shop_id": FALLBACK_SHOPS[0]}]
-    best = min(fits, key=lambda o: o.get("miles", 0)) if rule.shop_rule else {}
+    known = [word for word in PARTS_BY_CAUSE if _plain(word) in _plain(cause)]
+    best = _choose(rule, known, offers_of(shops) or []) if rule else {}
+    miles = _distance(best) if best else math.inf
     return rule, {
         "action": DISPATCH_ACTION,
         "truck_id": fields.get("truck_id"),
         "severity": severity,
-        "status": rule.status,
+        "status": rule.status if rule else None,
         "shop_id": best.get("shop_id"),
-        "eta_miles": best.get("miles"),
+        "eta_miles": None if math.isinf(miles) else int(miles),
         "parts_to_pre_stage": [PARTS_BY_CAUSE[word] for word in known],
         "diagnosis": cause,
     }
@@ -165,16 +228,20 @@ def _order(fields: dict[str, str], shops: Observation) -> tuple[SeverityRule, di
 
 def dispatch_step(_: str, text: str, key: str, seen: list[Observation]) -> ToolCall | str:
     """Look shops up, post the order, report: the steps of the offline dispatcher."""
-    fields = input_fields(text)
+    fields = dispatch_fields(text)
     if not seen:
         return ToolCall("http_get", {"truck_id": fields.get("truck_id")})
     rule, order = _order(fields, seen[0])
     if len(seen) == 1:
         return ToolCall("http_post", {"key": key, "body": order})
-    reply = seen[1].text if seen[1].ok else UNREACHABLE_RESPONSE
+    posted = seen[1]
+    reply = posted.text if posted.ok else UNREACHABLE_RESPONSE
+    if not posted.ok and posted.reachable:
+        reply = f"FAILED: {posted.text}"
     target = order["shop_id"] or "the watch list"
+    status = rule.status if rule else "UNKNOWN"
     return (
-        f"Dispatch Summary:\n{order['truck_id']} goes to {target} as {rule.status}.\n\n"
+        f"Dispatch Summary:\n{order['truck_id']} goes to {target} as {status}.\n\n"
         f"Dispatch JSON:\n{json.dumps(order, ensure_ascii=False)}\n\n"
         f"API Response:\n{reply}"
     )

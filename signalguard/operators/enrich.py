@@ -82,10 +82,13 @@ def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
 
 @dataclass(frozen=True)
 class RuleModel:
-    """An offline model: severity from the number of signals named in the prompt."""
+    """An offline model: severity from the number of signals named in the prompt.
+
+    ``severities`` gives the least number of signals of each severity; fewer are LOW.
+    """
 
     severities: Mapping[int, str] = field(
-        default_factory=lambda: {5: "CRITICAL", 4: "CRITICAL", 3: "HIGH", 2: "MEDIUM"}
+        default_factory=lambda: {4: "CRITICAL", 3: "HIGH", 2: "MEDIUM"}
     )
     actions: Mapping[str, str] = field(
         default_factory=lambda: {
@@ -96,10 +99,14 @@ class RuleModel:
         }
     )
 
+    def severity(self, signals: int) -> str:
+        reached = [least for least in self.severities if signals >= least]
+        return self.severities[max(reached)] if reached else "LOW"
+
     def __call__(self, prompts: pd.Series) -> pd.Series:
         count = prompts.str.extract(r"\((\d+) distinct signals\)", expand=False)
         signals = prompts.str.extract(r"Outside the band: ([^(\n]+) \(", expand=False)
-        severity = count.map(lambda c: self.severities.get(int(c), "LOW"), na_action="ignore")
+        severity = count.map(lambda c: self.severity(int(c)), na_action="ignore")
         severity = severity.fillna("LOW")
         return (
             "SEVERITY: "
@@ -119,11 +126,16 @@ class ToolCall:
 
 @dataclass(frozen=True)
 class Observation:
-    """What a tool call returned; ``ok`` is False when it failed or is not allowed."""
+    """What a tool call returned; ``ok`` is False when it failed or is not allowed.
+
+    ``reachable`` is False when no reply came at all: no such tool, no connection, no
+    answer in time.
+    """
 
     call: ToolCall
     ok: bool
     text: str
+    reachable: bool = True
 
 
 @dataclass(frozen=True)
@@ -143,11 +155,18 @@ class AgentSpec:
     def use(self, call: ToolCall, key: str) -> Observation:
         tool = self.tools.get(call.name)
         if tool is None:
-            return Observation(call, False, f"tool {call.name} is not allowed")
+            return Observation(call, False, f"tool {call.name} is not allowed", reachable=False)
+        # The tool is told its time limit and is left behind when it does not keep it.
+        pool = ThreadPoolExecutor(max_workers=1)
         try:
-            return Observation(call, True, tool(call.arguments, key, self.request_timeout))
+            asked = pool.submit(tool, call.arguments, key, self.request_timeout)
+            return Observation(call, True, asked.result(timeout=self.request_timeout))
         except Exception as error:  # a failing tool is an answer for the agent, not for Spark
-            return Observation(call, False, f"{type(error).__name__}: {error}")
+            # An HTTP error has a code: somebody answered.
+            silent = isinstance(error, (OSError, TimeoutError)) and not hasattr(error, "code")
+            return Observation(call, False, f"{type(error).__name__}: {error}", not silent)
+        finally:
+            pool.shutdown(wait=False)
 
     def run(self, text: str, key: str) -> str | None:
         """The agent's answer; None when it has none after ``max_iterations`` steps."""
@@ -199,6 +218,6 @@ def _nullable(values: pd.Series) -> list[str | None]:
 
 
 def input_fields(text: str) -> dict[str, str]:
-    """The ``name: value`` pairs of an agent input, as text."""
-    found = re.split(r"(?:^|, )([a-z_]+): ", text)
-    return dict(zip(found[1::2], found[2::2], strict=True))
+    """The ``name: value`` pairs of an agent input, as text; of equal names the first."""
+    found = re.split(r"(?:^|, )([A-Za-z_][A-Za-z0-9_]*): ", text)
+    return dict(reversed(list(zip(found[1::2], found[2::2], strict=True))))

@@ -30,8 +30,9 @@ def tumble(
 def average_signals(
     df: DataFrame, ts: str, width: str, entity: str, signals: Sequence[str]
 ) -> DataFrame:
-    """One row per entity and window with the mean of every signal."""
-    return tumble(df, ts, width, [entity], [F.avg(s).alias(s) for s in signals])
+    """One row per entity and window with the mean of every signal; NaN is no reading."""
+    read = lambda s: F.nanvl(F.col(s).cast("double"), F.lit(None).cast("double"))
+    return tumble(df, ts, width, [entity], [F.avg(read(s)).alias(s) for s in signals])
 
 
 def window_profile(

@@ -342,8 +342,11 @@ wanted AS (
   FROM policy
 ),
 offered AS (
-  SELECT w.*, CASE WHEN w.shop_rule = 'nearest with specialty' THEN s.shop ELSE a.shop END AS shop,
-         CASE WHEN w.shop_rule = 'nearest with specialty' THEN s.miles ELSE a.miles END AS miles
+  SELECT w.*,
+         CASE WHEN w.shop_rule = 'nearest with specialty' AND s.miles <= w.max_eta_miles
+              THEN s.shop ELSE a.shop END AS shop,
+         CASE WHEN w.shop_rule = 'nearest with specialty' AND s.miles <= w.max_eta_miles
+              THEN s.miles ELSE a.miles END AS miles
   FROM wanted w
   LEFT JOIN ranked a ON a.user_id = w.user_id AND a.place = 1
   LEFT JOIN ranked s ON s.user_id = w.user_id AND s.specialty = w.specialty

@@ -64,6 +64,8 @@ def signal_series(telemetry: DataFrame, watch: Watch) -> DataFrame:
 
 def signal_anomalies(telemetry: DataFrame, watch: Watch) -> DataFrame:
     """Anomaly records of all signals; works on a batch and on a watermarked stream."""
+    if telemetry.isStreaming and watch.history_span is not None:
+        raise ValueError("history_span splits stored series; a stream keeps its own state")
     if telemetry.isStreaming:
         judged = stream_band(
             windowed_signals(telemetry, watch),

@@ -66,16 +66,19 @@ def sasl_security(user: str, password: str) -> dict[str, str]:
     }
 
 
-def avro_schema(schema: T.StructType, name: str) -> str:
+def avro_schema(schema: T.StructType, name: str, namespace: str | None = None) -> str:
     """Avro record schema of a flat table; timestamps are milliseconds."""
     fields = []
     for f in schema.fields:
         if isinstance(f.dataType, T.TimestampType):
             kind = {"type": "long", "logicalType": "timestamp-millis"}
         else:
-            kind = _AVRO_TYPES[type(f.dataType)]
+            kind = _AVRO_TYPES.get(type(f.dataType))
+            if kind is None:
+                raise TypeError(f"column {f.name}: no Avro type for {f.dataType.simpleString()}")
         fields.append({"name": f.name, "type": ["null", kind] if f.nullable else kind})
-    return json.dumps({"type": "record", "name": name, "fields": fields})
+    place = {"namespace": namespace} if namespace else {}
+    return json.dumps({"type": "record", "name": name, **place, "fields": fields})
 
 
 def strip_frame(value: Column) -> Column:
@@ -115,3 +118,9 @@ def read_topic(
     """A topic as a typed stream with its watermark."""
     raw = spark.readStream.format("kafka").options(**options).load()
     return decode(raw, schema, name).withWatermark(ts, delay)
+
+
+def write_topic(records: DataFrame, options: dict, checkpoint: str, **trigger):
+    """Start writing ``encode``d records of a stream to a topic; ``trigger`` as in Spark."""
+    writer = records.writeStream.format("kafka").options(**options)
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -52,8 +52,22 @@ def all_set(columns: Sequence[str]) -> Column:
     return ok
 
 
+def json_list_rejects(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose text is there but is no JSON array of strings."""
+    parsed = F.from_json(F.col(column), "array<string>")
+    return df.where(F.col(column).isNotNull() & parsed.isNull())
+
+
+def read_json_list(spark: SparkSession, path: str, out: str) -> DataFrame:
+    """One row per element of files that each hold one JSON array of strings."""
+    return explode_json_list(spark.read.text(path, wholetext=True), "value", out).select(out)
+
+
 def explode_json_list(df: DataFrame, column: str, out: str) -> DataFrame:
-    """One row per element of a JSON array of strings."""
+    """One row per element of a JSON array of strings.
+
+    NULL and empty lists have no rows; ``json_list_rejects`` has the malformed ones.
+    """
     return df.withColumn(out, F.explode(F.from_json(F.col(column), "array<string>")))
 
 
