@@ -19,25 +19,23 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     pairs = links.select(F.col(a).alias("node"), F.col(b).alias("other"))
     pairs = pairs.where("node <> other")
     both = pairs.union(pairs.select(F.col("other").alias("node"), F.col("node").alias("other")))
-    both = stored(both.distinct(), "links")
-    labels = both.groupBy("node").agg(F.min("other").alias("least"))
-    labels = stored(
-        labels.select("node", F.least("node", "least").alias("component")), "components"
-    )
+    # Each node is its own neighbour, so one sum over neighbours also gives its own label.
+    own = both.select("node", F.col("node").alias("other"))
+    both = stored(both.union(own).distinct(), "links")
+    labels = both.groupBy("node").agg(F.min("other").alias("component"))
+    labels = stored(labels, "components")
     while True:
         near = both.join(
             labels.select(F.col("node").alias("other"), F.col("component").alias("seen")), "other"
         )
-        least = near.groupBy("node").agg(F.min("seen").alias("seen"))
-        step = labels.join(least, "node").select(
-            "node", "component", F.least("component", "seen").alias("next")
+        step = near.groupBy("node").agg(
+            F.max(F.when(F.col("node") == F.col("other"), F.col("seen"))).alias("before"),
+            F.min("seen").alias("next"),
         )
         step = stored(step, "components_step")
         jump = step.select(F.col("node").alias("next"), F.col("next").alias("beyond"))
-        after = step.join(jump, "next", "left").select(
-            "node",
-            F.col("component").alias("before"),
-            F.least("next", F.coalesce("beyond", "next")).alias("component"),
+        after = step.join(jump, "next").select(
+            "node", "before", F.least("next", "beyond").alias("component")
         )
         after = stored(after, "components")
         changed = after.where("before <> component").limit(1).count()
