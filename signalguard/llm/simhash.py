@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalguard.llm.base import LOWER, pieces, stored, utf8
@@ -167,19 +167,22 @@ def _links_of(rows: np.ndarray, most: int) -> pa.RecordBatch:
     )
 
 
-def keys_of(bits: str = "bits") -> list:
-    """One key per pair of blocks: the pair's number and the bits of both blocks."""
-    c, starts = F.col(bits), [sum(BLOCKS[:i]) for i in range(len(BLOCKS))]
+def keys_of(
+    bits: str = "bits", blocks: tuple[int, ...] = BLOCKS, agree: int = 2
+) -> list[Column]:
+    """One key per choice of ``agree`` blocks: the choice's number and the blocks' bits."""
+    c, starts = F.col(bits), [sum(blocks[:i]) for i in range(len(blocks))]
     block = [
         F.call_function("shiftrightunsigned", c, F.lit(s)).bitwiseAND(F.lit((1 << w) - 1))
-        for s, w in zip(starts, BLOCKS, strict=True)
-    ]
-    return [
-        F.call_function("shiftleft", F.lit(n).cast("bigint"), F.lit(32))
-        + F.call_function("shiftleft", block[i], F.lit(BLOCKS[j]))
-        + block[j]
-        for n, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))
+        for s, w in zip(starts, blocks, strict=True)
     ]
+    keys = []
+    for number, chosen in enumerate(combinations(range(len(blocks)), agree)):
+        key = F.lit(number).cast("bigint")
+        for i in chosen:
+            key = F.call_function("shiftleft", key, F.lit(blocks[i])) + block[i]
+        keys.append(key)
+    return keys
 
 
 def find_links(distinct: DataFrame, most: int = 3, cell: int = _CELL) -> DataFrame:
