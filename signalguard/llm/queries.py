@@ -21,9 +21,9 @@ from signalguard.llm import (
     token_files,
 )
 from signalguard.llm.base import fold, is_fold, table
+from signalguard.llm.oracles import SQL  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 
 def query(f):
