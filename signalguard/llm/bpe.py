@@ -18,10 +18,10 @@ import pyarrow as pa
 import regex
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalguard.llm.base import pieces, utf8
+from signalguard.llm.base import Shared, pieces, utf8
 from signalguard.session import shared_dir
 
 # Fixed value: where the byte-level tokenizer splits.
@@ -57,13 +57,7 @@ def splitter(special: Sequence[str]):
     return run
 
 
-def piece_table(spark: SparkSession, path: str) -> DataFrame:
-    """id and bytes of every piece: one row per vocabulary entry."""
-    rows = [(i, b) for i, b in piece_bytes(path).items()]
-    return spark.createDataFrame(rows, "id int, piece binary")
-
-
-def piece_bytes(path: str) -> dict[int, bytes]:
+def piece_table(path: str) -> list[bytes]:
     """The bytes each id stands for; printable stand-ins are undone, special strings stay."""
     found = tokenizer(path)
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -71,70 +65,114 @@ def piece_bytes(path: str) -> dict[int, bytes]:
     for n, b in enumerate(b for b in range(256) if b not in set(plain)):
         back[chr(256 + n)] = b
     special = {a.content for a in found.get_added_tokens_decoder().values()}
-    return {
-        i: piece.encode() if piece in special else bytes(back[c] for c in piece)
-        for piece, i in found.get_vocab(with_added_tokens=True).items()
-    }
-
-
-_LISTED = pa.schema(
-    [
-        ("chunk", pa.int64()),
-        ("code", pa.int32()),
-        ("word", pa.string()),
-        ("codes", pa.binary()),
-    ]
-)
-
-
-def _listed(held: pa.Array, chunk: int, codes=None, words=None, first: int = 0) -> pa.RecordBatch:
-    """Rows of a chunk: numbered texts with what is held of their documents, or words."""
-    n = len(held)
-    code = pa.nulls(n, pa.int32()) if words is None else pa.array(range(first, first + n), pa.int32())
-    columns = [
-        pa.array([chunk] * n, pa.int64()),
-        code,
-        pa.array(words or [None] * n, pa.string()),
-        pa.array(codes or [None] * n, pa.binary()),
-        held,
-    ]
-    return pa.RecordBatch.from_arrays(columns, schema=_LISTED.append(pa.field("held", held.type)))
+    vocabulary = found.get_vocab(with_added_tokens=True)
+    pieces = [b""] * (max(vocabulary.values()) + 1)
+    for piece, i in vocabulary.items():
+        pieces[i] = piece.encode() if piece in special else bytes(back[c] for c in piece)
+    return pieces
+
+
+def _pack_codes(codes: np.ndarray) -> bytes:
+    """Numbers by planes of bytes: the upper planes are nearly all zero."""
+    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def _unpack_codes(packed: bytes) -> list[int]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().tolist()
+
+
+def _pack_words(words: Sequence[bytes], codes: np.ndarray) -> bytes:
+    lengths = np.fromiter(map(len, words), "<u4", len(words))
+    head = np.array([len(words)], dtype="<u4").tobytes()
+    plain = head + lengths.tobytes() + codes.astype("<u4").tobytes() + b"".join(words)
+    return zstandard.ZstdCompressor(level=3).compress(plain)
+
+
+def _unpack_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        for chunk, packed in zip(*(batch.column(c).to_pylist() for c in ("chunk", "words")), strict=True):
+            plain = unpack(packed)
+            count = int(np.frombuffer(plain, "<u4", 1)[0])
+            ends = np.cumsum(np.frombuffer(plain, "<u4", count, 4), dtype=np.int64)
+            data = pa.py_buffer(plain[4 + 8 * count :])
+            offsets = pa.py_buffer(np.concatenate([[0], ends]).astype("<i4").tobytes())
+            codes = np.frombuffer(plain, "<u4", count, 4 + 4 * count).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.StringArray.from_buffers(count, offsets, data),
+                    pa.array([chunk] * count, pa.int64()),
+                    pa.array(codes),
+                ],
+                names=["word", "chunk", "code"],
+            )
+
+
+class _Chunk:
+    """A stretch of documents: their texts as numbers of words, and the words."""
+
+    def __init__(self, name: int):
+        self.name, self.size = name, 0
+        self.number: dict[str, int] = {}
+        self.texts: list[np.ndarray] = []
+        self.held: list[pa.Array] = []
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """Frequent words get small numbers; words are listed in order, which packs well."""
+        every = np.concatenate([np.zeros(0, np.uint32), *self.texts])
+        uses = np.bincount(every, minlength=len(self.number))
+        rank = np.empty(len(uses), dtype=np.uint32)
+        rank[np.argsort(-uses, kind="stable")] = np.arange(len(uses), dtype=np.uint32)
+        done = 0
+        for held in self.held:
+            part = self.texts[done : done + len(held)]
+            done += len(held)
+            yield self._batch(held, None, [_pack_codes(rank[t]) for t in part])
+        kind = self.held[0].type
+        words = sorted((w.encode(), c) for w, c in self.number.items())
+        for b in range(0, len(words), 50_000):
+            part = words[b : b + 50_000]
+            codes = rank[[c for _, c in part]]
+            packed = _pack_words([w for w, _ in part], codes)
+            yield self._batch(pa.nulls(1, kind), [packed], None)
+
+    def _batch(self, held, words, codes) -> pa.RecordBatch:
+        n = len(held)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([self.name] * n, pa.int64()),
+                pa.array(words or [None] * n, pa.binary()),
+                pa.array(codes or [None] * n, pa.binary()),
+                held,
+            ],
+            names=["chunk", "words", "codes", "held"],
+        )
 
 
 def _chunks(path: str):
-    """The word list and the numbered texts of each chunk of a task's documents."""
+    """The numbered texts and the word list of each chunk of a task's documents."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         special = [a.content for a in tokenizer(path).get_added_tokens_decoder().values()]
         split = splitter(special)
-        pack = zstandard.ZstdCompressor(level=3).compress
-        chunk = TaskContext.get().partitionId() << 32
-        number: dict[str, int] = {}
-        size, kind = 0, None
-
-        def words() -> Iterator[pa.RecordBatch]:
-            found = list(number)
-            for b in range(0, len(found), 50_000):
-                part = found[b : b + 50_000]
-                yield _listed(pa.nulls(len(part), kind), chunk, words=part, first=b)
-
+        chunk = _Chunk(TaskContext.get().partitionId() << 32)
         for batch in batches:
             held = batch.column("held")
-            kind = held.type
             for first, texts in pieces(batch, "_text"):
-                codes = []
+                number = chunk.number
                 for text in texts:
-                    size += len(text)
-                    row = array("I")
-                    for word in split(text.decode("utf-8", "replace")):
-                        row.append(number.setdefault(word, len(number)))
-                    codes.append(pack(row.tobytes()))
-                yield _listed(held.slice(first, len(texts)), chunk, codes=codes)
-                if size >= _CHUNK_BYTES or len(number) >= _CHUNK_WORDS:
-                    yield from words()
-                    chunk, number, size = chunk + 1, {}, 0
-        if number:
-            yield from words()
+                    chunk.size += len(text)
+                    words = split(text.decode("utf-8", "replace"))
+                    codes = [number.setdefault(w, len(number)) for w in words]
+                    chunk.texts.append(np.array(codes, dtype=np.uint32))
+                chunk.held.append(held.slice(first, len(texts)))
+                if chunk.size >= _CHUNK_BYTES or len(number) >= _CHUNK_WORDS:
+                    yield from chunk.rows()
+                    chunk = _Chunk(chunk.name + 1)
+        if chunk.texts:
+            yield from chunk.rows()
 
     return run
 
@@ -144,7 +182,7 @@ def _encode(path: str):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = tokenizer(path)
-        last: tuple[str, list[int]] | None = None
+        last: tuple[str, bytes] | None = None
         for batch in batches:
             words = batch.column("word").to_pylist()
             fresh = [
@@ -154,40 +192,41 @@ def _encode(path: str):
             ids = []
             for word in words:
                 if last is None or word != last[0]:
-                    last = (word, next(done).ids)
+                    last = (word, array("I", next(done).ids).tobytes())
                 ids.append(last[1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), batch.column("code"), pa.array(ids, pa.list_(pa.int32()))],
+                [batch.column("chunk"), batch.column("code"), pa.array(ids, pa.binary())],
                 names=["chunk", "code", "ids"],
             )
 
     return run
 
 
-def _assemble(words: pa.Table, texts: pa.Table) -> pa.Table:
-    """Put the ids and pieces of a chunk's words in the places of their numbers."""
-    code = words["code"].to_numpy()
-    order = np.lexsort((words["pos"].to_numpy(), code))
-    ends = np.concatenate([[0], np.cumsum(np.bincount(code))])
-    raw = words["id"].to_numpy()[order].astype("<u4").tobytes()
-    piece = words["piece"].take(pa.array(order)).to_pylist()
-    spans = list(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True))
-    ids_of = [raw[4 * a : 4 * b] for a, b in spans]
-    bytes_of = [b"".join(piece[a:b]) for a, b in spans]
-    unpack = zstandard.ZstdDecompressor().decompress
-    ids, decoded = [], []
-    for packed in texts["codes"].to_pylist():
-        row = array("I", unpack(packed))
-        ids.append(b"".join(map(ids_of.__getitem__, row)))
-        plain = b"".join(map(bytes_of.__getitem__, row))
-        decoded.append(plain.decode("utf-8", "replace"))
-    return pa.table(
-        {
-            "held": texts["held"],
-            "ids": pa.array(ids, pa.binary()),
-            "decoded": pa.array(decoded, pa.string()),
-        }
-    )
+def _assemble(shared: Shared):
+    """Put the ids of a chunk's words, and their pieces, in the places of their numbers."""
+
+    def run(words: pa.Table, texts: pa.Table) -> pa.Table:
+        table = shared.load()
+        ids_of = [b""] * len(words)
+        for code, ids in zip(words["code"].to_pylist(), words["ids"].to_pylist(), strict=True):
+            ids_of[code] = ids
+        # Each id meets its piece once per distinct word of the chunk.
+        bytes_of = [b"".join(map(table.__getitem__, array("I", ids))) for ids in ids_of]
+        ids, decoded = [], []
+        for packed in texts["codes"].to_pylist():
+            row = _unpack_codes(packed)
+            ids.append(b"".join(map(ids_of.__getitem__, row)))
+            plain = b"".join(map(bytes_of.__getitem__, row))
+            decoded.append(plain.decode("utf-8", "replace"))
+        return pa.table(
+            {
+                "held": texts["held"],
+                "ids": pa.array(ids, pa.binary()),
+                "decoded": pa.array(decoded, pa.string()),
+            }
+        )
+
+    return run
 
 
 def encode_and_decode(
@@ -200,15 +239,15 @@ def encode_and_decode(
     tokens; a special string inside a text is that token.
 
     A chunk holds some megabytes of text and a bounded word list, so what meets in one task
-    is bounded too; a frequent word is one row per chunk.  The id-to-piece side of the join
-    has one row per vocabulary entry, which bounds its broadcast.
+    is bounded too; a frequent word is one row per chunk.  Ids meet their pieces in a map-side
+    join: its broadcast side has one entry per piece of the vocabulary, which bounds it.
     """
     spark = docs.sparkSession
     held = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]).alias("held")
     rows = docs.select(held, utf8(text).alias("_text"))
     kind = rows.schema["held"].dataType.simpleString()
     listed = rows.mapInArrow(
-        _chunks(path), f"chunk bigint, code int, word string, codes binary, held {kind}"
+        _chunks(path), f"chunk bigint, words binary, codes binary, held {kind}"
     )
     # Bucketed by chunk, so the numbered texts are not shuffled to meet their words.
     name = f"bpe_chunks_{uuid4().hex}"
@@ -216,20 +255,19 @@ def encode_and_decode(
     writer = listed.write.bucketBy(buckets, "chunk").option("path", shared_dir(spark, name))
     writer.saveAsTable(name)
     stored = spark.table(name)
-    words = stored.where(F.col("word").isNotNull()).select("word", "chunk", "code")
+    words = stored.where(F.col("words").isNotNull()).select("chunk", "words")
     encoded = (
-        words.repartition("word")
+        words.mapInArrow(_unpack_words, "word string, chunk bigint, code int")
+        .repartition("word")
         .sortWithinPartitions("word")
-        .mapInArrow(_encode(path), "chunk bigint, code int, ids array<int>")
+        .mapInArrow(_encode(path), "chunk bigint, code int, ids binary")
     )
-    by_place = encoded.select("chunk", "code", F.posexplode("ids").alias("pos", "id"))
-    with_pieces = by_place.join(F.broadcast(piece_table(spark, path)), "id")
+    pieces_by_id = Shared(spark, piece_table(path))
     texts = stored.where(F.col("codes").isNotNull()).select("chunk", "codes", "held")
     done = (
-        with_pieces.select("chunk", "code", "pos", "id", "piece")
-        .groupBy("chunk")
+        encoded.groupBy("chunk")
         .cogroup(texts.groupBy("chunk"))
-        .applyInArrow(_assemble, f"held {kind}, ids binary, decoded string")
+        .applyInArrow(_assemble(pieces_by_id), f"held {kind}, ids binary, decoded string")
     )
     return done.select(
         *[F.col(f"held.k{i}").alias(c) for i, c in enumerate(keep)], "ids", "decoded"
