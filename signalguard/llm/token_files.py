@@ -35,6 +35,23 @@ _NO_ID = -(2**63)  # stands for NULL in the id frame; sorts first
 _FILE_BYTES = 256 << 20  # plain bytes after which a task starts a new file
 
 
+_TAIL = b".,!?;:"
+
+
+def _parts(run: bytes) -> tuple[bytes, bytes]:
+    """A run as a word and the punctuation after it, which the tokenizer encodes apart.
+
+    Only where that is certain: ASCII with a letter or digit before the punctuation.  Such a
+    word is lower-cased, as the tokenizer does.
+    """
+    if not run.isascii() or b"<" in run:
+        return run, b""
+    core = run.rstrip(_TAIL)
+    if not core[-1:].isalnum():
+        return run, b""
+    return core.lower(), run[len(core) :]
+
+
 class ChunkEncoder:
     """Ids of texts; each distinct run between ASCII blanks is encoded once while remembered.
 
@@ -59,14 +76,43 @@ class ChunkEncoder:
         if len(known) + len(fresh) > self.most:
             known.clear()
             fresh = list(set().union(*split))
-        found = self.tokenizer.encode_batch_fast(
-            [c.decode("utf-8", "replace") for c in fresh], add_special_tokens=False
+        parts = [_parts(c) for c in fresh]
+        found = dict(self._encode_runs(list({p for pair in parts for p in pair})))
+        known.update(
+            (c, found[core] + found[tail]) for c, (core, tail) in zip(fresh, parts, strict=True)
         )
-        for chunk, e in zip(fresh, found, strict=True):
-            known[chunk] = np.array(e.ids, dtype="<u4").tobytes()
         return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
 
 
+    def _encode_runs(self, runs: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Runs are encoded many at a time, with a special token between them.
+
+        The tokenizer cuts a text at special tokens before it does anything else, so a run
+        between two of them is encoded as if it stood alone.
+        """
+        mark = next(iter(self.tokenizer.get_added_tokens_decoder().items()), None)
+        if mark is None:
+            marked, alone = [], runs
+        else:
+            number, text = mark[0], mark[1].content
+            marked = [r for r in runs if b"<|" not in r and text.encode() not in r]
+            alone = [r for r in runs if b"<|" in r or text.encode() in r]
+        for b in range(0, len(marked), 2000):
+            part = marked[b : b + 2000]
+            joined = text.join(r.decode("utf-8", "replace") for r in part) + text
+            found = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
+            ids = np.array(found.ids, dtype="<u4")
+            raw, start = ids.tobytes(), 0
+            for run, end in zip(part, np.flatnonzero(ids == number).tolist(), strict=True):
+                yield run, raw[4 * start : 4 * end]
+                start = end + 1
+        texts = [r.decode("utf-8", "replace") for r in alone]
+        for run, e in zip(
+            alone, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True
+        ):
+            yield run, np.array(e.ids, dtype="<u4").tobytes()
+
+
 class SeekableWriter:
     """Writes frames, then the id frame and the seek table."""
 
