@@ -9,6 +9,7 @@ return to the chunk, where they take the places of the numbers.
 from __future__ import annotations
 
 import os
+import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
 from uuid import uuid4
@@ -41,9 +42,27 @@ def tokenizer(path: str):
     return found
 
 
-def splitter(special: Sequence[str]):
-    """A function from text to words; special strings are words of their own."""
-    words = regex.compile(SPLIT).findall
+def _newcomers() -> str:
+    """Letters and digits of the pattern library that an older Unicode does not know yet."""
+    known = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x40000)]))
+    found = regex.findall(r"[\p{L}\p{N}]", known)
+    return "".join(c for c in found if unicodedata.category(c) == "Cn")
+
+
+def splitter(special: Sequence[str], own=None):
+    """A function from text to words; special strings are words of their own.
+
+    Texts with characters that only a newer Unicode has are split by the tokenizer's ``own``
+    splitting, if given.
+    """
+    plain = regex.compile(SPLIT).findall
+    odd = regex.compile("[" + regex.escape(_newcomers()) + "]").search if own else None
+
+    def words(text: str) -> list[str]:
+        if odd is None or text.isascii() or not odd(text):
+            return plain(text)
+        return [text[a:b] for _, (a, b) in own.pre_tokenize_str(text)]
+
     if not special:
         return words
     apart = regex.compile("(" + "|".join(map(regex.escape, special)) + ")")
@@ -155,8 +174,9 @@ def _chunks(path: str):
     """The numbered texts and the word list of each chunk of a task's documents."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        special = [a.content for a in tokenizer(path).get_added_tokens_decoder().values()]
-        split = splitter(special)
+        found = tokenizer(path)
+        special = [a.content for a in found.get_added_tokens_decoder().values()]
+        split = splitter(special, found.pre_tokenizer)
         chunk = _Chunk(TaskContext.get().partitionId() << 32)
         for batch in batches:
             held = batch.column("held")

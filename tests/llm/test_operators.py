@@ -579,7 +579,7 @@ def test_every_character_splits_alike():
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(BYTES)
-    split = bpe.splitter([])
+    split = bpe.splitter([], tok.pre_tokenizer)
     odd = []
     for code in range(0x110000):
         if 0xD800 <= code < 0xE000 or code > 0x2FFFF and code < 0xE0000:
