@@ -89,7 +89,7 @@ def op5_language(spark, sf):
 def op6_substrings(spark, sf):
     """Repeated lines and where their kept occurrence is."""
     docs = table(spark, sf, "documents")
-    return substring.removed_spans(docs, substring.repeated_units(docs))
+    return substring.removed_spans(docs, substring.repeated_units(docs, least_letters=1))
 
 
 @query
@@ -104,7 +104,7 @@ def op7_token_files(spark, sf):
 @query
 def op8_fuzzy_lines(spark, sf):
     """Every judged line and the line its group keeps."""
-    found = fuzzy_lines.line_groups(table(spark, sf, "documents"))
+    found = fuzzy_lines.line_groups(table(spark, sf, "documents"), least_letters=1)
     return found.select(
         F.col("doc.id").alias("doc_id"),
         "line",

@@ -23,8 +23,10 @@ _UNITS = pa.schema(
 )
 
 
-def units_of(text: str, unit: str = "line", least_words: int = 5):
-    """(number, start, end, digest) of each unit with enough words.
+def units_of(text: str, unit: str = "line", least_letters: int = 5):
+    """(number, start, end, digest) of each unit with enough characters.
+
+    Blanks are not counted, and a unit of nothing else is never one.
 
     Offsets count code points of the text.  The digest is of the lower-cased words joined
     by single spaces.
@@ -33,19 +35,19 @@ def units_of(text: str, unit: str = "line", least_words: int = 5):
     breaks = [(m.start(), m.end()) for m in _BREAKS[unit].finditer(text)]
     for number, (end, after) in enumerate([*breaks, (len(text), len(text))]):
         words = text[start:end].lower().split()
-        if len(words) >= least_words:
+        if sum(map(len, words)) >= max(1, least_letters):
             digest = hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
             yield number, start, end, digest
         start = after
 
 
-def _split(unit: str, least_words: int):
+def _split(unit: str, least_letters: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in pieces(batch, "_text"):
                 rows, places = [], []
                 for i, text in enumerate(texts, first):
-                    found = list(units_of(text.decode("utf-8", "replace"), unit, least_words))
+                    found = list(units_of(text.decode("utf-8", "replace"), unit, least_letters))
                     rows += found
                     places += [i] * len(found)
                 at = pa.array(places, pa.int64())
@@ -68,23 +70,24 @@ def repeated_units(
     doc_id: str = "doc_id",
     text: str = "text",
     unit: str = "line",
-    least_words: int = 5,
+    least_letters: int = 5,
 ) -> DataFrame:
     """Every unit that repeats an earlier one: doc_id, version, unit, start, end, keep_*.
 
     Units are ranked by document id, then text, then place; the first of equal units is
     kept, and ``keep_doc_id``, ``keep_start``, ``keep_end`` say where.  ``version`` is the
     hash of the text, so rows of one id and different texts are told apart; equal rows are
-    one.  NULL ids rank first.  NULL texts and units of under ``least_words`` words are
-    never repeats.  Digests are grouped with sums made in each task first; a digest that a
-    third of all units share is one row of the group table, and Spark splits the join.
+    one.  NULL ids rank first.  NULL texts and units of under ``least_letters``
+    characters without blanks are never repeats.  Digests are grouped with sums made in each
+    task first; a digest that a third of all units share is one row of the group table, and
+    Spark splits the join.
     """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), utf8(text).alias("_text")
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
     found = rows.mapInArrow(
-        _split(unit, least_words),
+        _split(unit, least_letters),
         f"doc_id {kind}, version bigint, unit int, start int, end int, digest binary",
     )
     found = stored(found.distinct(), "units")

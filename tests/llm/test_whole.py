@@ -4,9 +4,9 @@ import math
 import random
 
 import brute
-from cases import documents, rows
+from cases import LINE, documents, rows
 
-from signalguard.llm import fuzzy_lines
+from signalguard.llm import fuzzy_lines, queries, substring
 
 
 def similar_lines(docs):
@@ -61,3 +61,50 @@ def test_every_similar_line_is_found(spark):
     wanted = similar_lines(list(enumerate(texts)))
     assert len(set(wanted.values())) < len(wanted) / 2
     assert found_lines(fuzzy_lines.line_groups(docs, least_letters=1)) == wanted
+
+
+def repeats_of(docs, breaks="\n"):
+    """{(doc, start, end)} of all units with anything but blanks that an earlier one equals."""
+    seen, out = set(), set()
+    for doc, text in docs:
+        start = 0
+        for unit in (text or "").split(breaks):
+            words = tuple(unit.lower().split())
+            if words and words in seen:
+                out.add((doc, start, start + len(unit)))
+            seen.add(words)
+            start += len(unit) + len(breaks)
+    return out
+
+
+SHORT = ["Home\nmenu |\n" + LINE, "home\n\n漢字仮名交文\nx", "menu |\n漢字仮名交文\n\nX\n---\n---"]
+
+
+def at_documents(spark, data, monkeypatch):
+    """A folder in name only: the queries read these documents."""
+    docs = documents(spark, data)
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    return docs
+
+
+def test_short_units_are_repeats(spark, monkeypatch):
+    at_documents(spark, rows(SHORT), monkeypatch)
+    found = queries.op6_substrings(spark, "").collect()
+    got = {(r["doc_id"], s["start"], s["end"]) for r in found for s in r["spans"]}
+    assert got == repeats_of(list(enumerate(SHORT))) and len(got) == 5
+
+
+def test_the_floor_counts_characters():
+    text = "漢字仮名交文\nab cd\nab cde"
+    found = [text[a:b] for _, a, b, _ in substring.units_of(text, "line", 5)]
+    assert found == ["漢字仮名交文", "ab cde"]
+
+
+def test_short_lines_are_judged(spark, monkeypatch):
+    at_documents(spark, rows(SHORT), monkeypatch)
+    got = {
+        (r["doc_id"], r["line"]): (r["keep_doc_id"], r["keep_line"])
+        for r in queries.op8_fuzzy_lines(spark, "").collect()
+    }
+    assert got == similar_lines(list(enumerate(SHORT)))
+    assert got[1, 0] == (0, 0) and got[2, 1] == (1, 2) and got[2, 3] == (1, 3)
