@@ -118,7 +118,7 @@ def op8_fuzzy_lines(spark, sf):
 def op9_language_model(spark, sf):
     """Trie scores of every document, learnt outside the held-out seventh."""
     docs = table(spark, sf, "documents")
-    model = ngram_lm.learn(docs.where(fold("doc_id", 7) != 2))
+    model = ngram_lm.learn(docs.where(fold("doc_id", 7) != 2), least=1)
     scored = ngram_lm.score_texts(docs, model)
     return scored.select(
         "doc_id",

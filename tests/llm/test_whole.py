@@ -108,3 +108,21 @@ def test_short_lines_are_judged(spark, monkeypatch):
     }
     assert got == similar_lines(list(enumerate(SHORT)))
     assert got[1, 0] == (0, 0) and got[2, 1] == (1, 2) and got[2, 3] == (1, 3)
+
+
+def once_seen_texts():
+    """Most pairs and triples occur once; one word has hundreds of followers."""
+    rng = random.Random(8)
+    texts = [" ".join(f"hub f{i * 9 + k} g{rng.randrange(40)}" for k in range(9)) for i in range(40)]
+    return texts + [" ".join(f"g{rng.randrange(40)}" for _ in range(30)) for _ in range(20)]
+
+
+def test_once_seen_grams_are_stored(spark, monkeypatch):
+    texts = once_seen_texts()
+    at_documents(spark, rows(texts), monkeypatch)
+    got = queries.op9_language_model(spark, "").orderBy("doc_id").collect()
+    train = [t for r, t in zip(got, texts, strict=True) if not r["held_out"]]
+    wanted = brute.trigram_scores(train, texts, least=1)
+    step = (math.log10(got[0]["train_tokens"] * 2.0) + 0.01) / 255
+    for r, (n, _, _, score) in zip(got, wanted, strict=True):
+        assert abs(r["score"] - score) <= n * step
