@@ -4,9 +4,10 @@ import math
 import random
 
 import brute
+import pytest
 from cases import LINE, documents, rows
 
-from signalguard.llm import fuzzy_lines, queries, substring
+from signalguard.llm import fuzzy_lines, ngram_lm, queries, substring
 
 
 def similar_lines(docs):
@@ -126,3 +127,16 @@ def test_once_seen_grams_are_stored(spark, monkeypatch):
     step = (math.log10(got[0]["train_tokens"] * 2.0) + 0.01) / 255
     for r, (n, _, _, score) in zip(got, wanted, strict=True):
         assert abs(r["score"] - score) <= n * step
+
+
+@pytest.mark.parametrize("entries", [2_000_000, 50])
+def test_followers_over_many_files(spark, monkeypatch, entries):
+    monkeypatch.setattr(ngram_lm, "_FILE_ENTRIES", entries)
+    texts = once_seen_texts()
+    docs = documents(spark, rows(texts))
+    model = ngram_lm.learn(docs, least=1)
+    assert model.widths[1] == 360 + 1  # the followers of hub
+    got = ngram_lm.score_texts(docs, model).orderBy("doc_id").collect()
+    wanted = brute.trigram_scores(texts, texts, least=1)
+    for r, (n, _, _, score) in zip(got, wanted, strict=True):
+        assert abs(r["score"] - score) <= n * model.step
