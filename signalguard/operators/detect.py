@@ -269,10 +269,10 @@ def _carried(slots: list[_Slot], config: BandConfig, n: int, window) -> dict[str
 _UNIT_HOURS = {"second": 1 / 3600, "minute": 1 / 60, "hour": 1.0, "day": 24.0, "week": 168.0}
 
 
-def _hours_of(span: str) -> float:
+def span_hours(span: str) -> float:
     found = re.fullmatch(r"\s*(\d+)\s+(second|minute|hour|day|week)s?\s*", span.lower())
     if not found or not int(found[1]):
-        raise ValueError(f"a history span is a number and a unit, such as '7 days'; got {span!r}")
+        raise ValueError(f"a span is a number and a unit, such as '7 days'; got {span!r}")
     return int(found[1]) * _UNIT_HOURS[found[2]]
 
 
@@ -282,7 +282,7 @@ def _chunked(
     """The same history, with no task holding more than one chunk of a key."""
     # A struct equals itself also where a field is NULL, so no series and no row is lost.
     hours = hours_since(df, ts, config.time_origin)
-    number = F.floor(hours / F.lit(_hours_of(span)))
+    number = F.floor(hours / F.lit(span_hours(span)))
     df = df.withColumns({"_key": F.struct(*keys), "_chunk": F.struct(number.alias("n"))})
     chunk = Window.partitionBy("_key", "_chunk").orderBy(ts)
     chunks = Window.partitionBy("_key").orderBy("_chunk")

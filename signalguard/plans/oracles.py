@@ -188,11 +188,11 @@ LINE_RISKS = f"{LINE_BANDS}, {_risk_columns(LINE_SIGNALS, 'l_suppkey', '30 days'
 EVENT_RISKS = f"{EVENT_BANDS}, {_risk_columns(EVENT_SIGNALS, 'user_id', '7 days', 'band')}"
 
 
-def _risk_query(ctes: str, key: str, signals: list[str], where: str = "") -> str:
+def _risk_query(ctes: str, key: str, signals: list[str]) -> str:
     values = ", ".join(f"{r6(s)} AS {s}" for s in signals)
     return f"""WITH {ctes}
 SELECT {key}, window_start, window_end, signals_tripped, tripped_signals, {values}
-FROM risks {where}"""
+FROM risks"""
 
 
 # A rounded reading as text: half away from zero on the decimal digits.
@@ -241,12 +241,12 @@ RULE_ANSWER = """'SEVERITY: ' || severity || chr(10) || 'LIKELY_CAUSE: ' || like
   || chr(10) || 'RECOMMENDED_ACTION: ' || recommended_action"""
 
 
-def _diagnosed_query(where: str = "") -> str:
+def _diagnosed_query() -> str:
     values = ", ".join(f"{r6(s)} AS {s}" for s in LINE_SIGNALS)
     return f"""WITH {LINE_RISKS}, {RULE_CTES}
 SELECT l_suppkey, window_start, window_end, signals_tripped, tripped_signals, {values},
        severity, likely_cause, recommended_action, {RULE_ANSWER} AS raw_diagnosis
-FROM diagnosed {where}"""
+FROM diagnosed"""
 
 
 def _agent_text(null_text: str | None) -> str:
@@ -412,12 +412,6 @@ def _weekly(aggregates: str) -> str:
 FROM events GROUP BY ALL"""
 
 
-# What a stream has closed: the watermark is the latest time minus the delay.
-EVENT_MARK = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '5 seconds' FROM events)"
-LINE_MARK = (
-    "(SELECT date_trunc('milliseconds', max(l_shipdate)) - INTERVAL '5 seconds' FROM lineitem)"
-)
-
 SQL: dict[str, str] = {
     "scan_telemetry": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "require_not_null": f"WITH {GAPPY} SELECT * FROM gappy WHERE {ALL_SET}",
@@ -611,19 +605,41 @@ SELECT *, json_extract_string(dispatch_json, '$.status') AS status FROM parsed""
     "run_agent_rules": f"""WITH {ACTIONS}
 SELECT CAST(l_suppkey AS VARCHAR) AS l_suppkey, window_start, raw_response FROM actions""",
     "action_stage": ACTION_ROWS,
-    "stream_actions": f"{ACTION_ROWS} WHERE window_end <= {LINE_MARK}",
+    # A stream whose input has ended gives the rows of the batch job.
+    "stream_actions": ACTION_ROWS,
     "stream_tumble": f"""
-WITH windows AS (
 SELECT event_type AS signal, {_bucket('ts', '1 minute')} AS window_start,
        {_bucket('ts', '1 minute')} + INTERVAL '1 minute' AS window_end,
        {_window_time(_bucket('ts', '1 minute'), '1 minute')} AS window_time,
        {r6('avg(value)')} AS avg_value, count(*) AS reading_count
-FROM events GROUP BY ALL
+FROM events GROUP BY ALL""",
+    "stream_band": _event_band(),
+    "stream_escalate": _risk_query(LINE_RISKS, "l_suppkey", LINE_SIGNALS),
+    "stream_diagnose": _diagnosed_query(),
+    "stream_band_seeded": _event_band(),
+    "stream_band_retired": _band_query("user_id, signal", "1 day", f"""{EVENT_SERIES.replace(
+        'series AS', 'whole AS')},
+gaps AS (
+  SELECT *, CASE WHEN w - lag(w) OVER k > INTERVAL '3 days' THEN 1 ELSE 0 END AS gap
+  FROM whole WINDOW k AS (PARTITION BY user_id, signal ORDER BY w)
+),
+series AS (
+  SELECT *, sum(gap) OVER (PARTITION BY user_id, signal ORDER BY w) AS life FROM gaps
+),
+{_bands('user_id, signal, life')}"""),
+    "stream_rejects": f"WITH {GAPPY} SELECT * FROM gappy WHERE NOT ({ALL_SET})",
+    "stream_late_rows": f"""
+WITH arrivals AS (
+  SELECT *, least((day(ts) - 1) // 8 + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END, 3) AS slice
+  FROM events
+),
+marks AS (
+  SELECT a.slice, max(date_trunc('milliseconds', b.ts)) - INTERVAL '5 seconds' AS watermark
+  FROM (SELECT DISTINCT slice FROM arrivals) a JOIN arrivals b ON b.slice < a.slice
+  GROUP BY a.slice
 )
-SELECT * FROM windows WHERE window_end <= {EVENT_MARK}""",
-    "stream_band": _event_band() + f" WHERE w + INTERVAL '1 day' <= {EVENT_MARK}",
-    "stream_escalate": _risk_query(
-        LINE_RISKS, "l_suppkey", LINE_SIGNALS, f"WHERE window_end <= {LINE_MARK}"
-    ),
-    "stream_diagnose": _diagnosed_query(f"WHERE window_end <= {LINE_MARK}"),
+SELECT event_id, ts, user_id, watermark
+FROM arrivals JOIN marks USING (slice)
+WHERE {_bucket('ts', '1 hour')} + INTERVAL '1 hour' <= watermark""",
+    "stream_stage_tables": _diagnosed_query(),
 }

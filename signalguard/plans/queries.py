@@ -65,10 +65,13 @@ from signalguard.plans.stages import (
     diagnose,
     signal_anomalies,
     signal_series,
+    window_anomalies,
+    windowed_signals,
 )
 from signalguard.schemas import schema_of
 from signalguard.session import shared_dir
 from signalguard.sources.tables import (
+    EndOfInput,
     all_set,
     append_to_table,
     create_table_as,
@@ -78,16 +81,26 @@ from signalguard.sources.tables import (
     scan_stream,
     split_not_null,
 )
-from signalguard.streaming.band import stream_band
-from signalguard.streaming.run import run_to_end, start_written_steps, stream_session
+from signalguard.streaming.band import band_seed, stream_band
+from signalguard.streaming.late import start_late_split
+from signalguard.streaming.run import (
+    drain,
+    run_to_end,
+    scan_batches,
+    start_split,
+    start_written_steps,
+    stream_session,
+)
+from signalguard.streaming.staged import Stage, StagedTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-EVENTS = schema_of(
+EVENTS_TEXT = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
     "props string"
 )
+EVENTS = schema_of(EVENTS_TEXT)
 LINEITEM = schema_of(
     "l_suppkey bigint, l_partkey bigint, l_quantity double, l_extendedprice double, "
     "l_discount double, l_tax double, l_shipdate timestamp_ntz"
@@ -209,9 +222,16 @@ def scan_telemetry(spark, sf):
     return events(spark, sf)
 
 
+GAPPY_COLUMNS = ["value", "event_type", "ts"]
+
+
 def _gappy(spark, sf) -> DataFrame:
+    return _gappy_columns(events(spark, sf))
+
+
+def _gappy_columns(df: DataFrame) -> DataFrame:
     """Events whose value is missing when it is large, and whose type is when it is small."""
-    return events(spark, sf).select(
+    return df.select(
         "event_id",
         F.when(F.col("value") < 60, F.col("value")).alias("value"),
         F.when(F.col("value") > 1, F.col("event_type")).alias("event_type"),
@@ -221,12 +241,12 @@ def _gappy(spark, sf) -> DataFrame:
 
 @query
 def require_not_null_rows(spark, sf):
-    return require_not_null(_gappy(spark, sf), ["value", "event_type", "ts"])
+    return require_not_null(_gappy(spark, sf), GAPPY_COLUMNS)
 
 
 @query
 def rejects(spark, sf):
-    _, rejected = split_not_null(_gappy(spark, sf), ["value", "event_type", "ts"])
+    _, rejected = split_not_null(_gappy(spark, sf), GAPPY_COLUMNS)
     return rejected
 
 
@@ -925,73 +945,90 @@ def action_stage(spark, sf):
 # --- streams -------------------------------------------------------------------------
 
 
-def _stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def _plain(df: DataFrame) -> DataFrame:
+    """Times without a zone, as the tables have them."""
+    times = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"]
+    return df.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
+
+
+def _stored(
+    spark: SparkSession, df: DataFrame, label: str, end: EndOfInput | None = None
+) -> DataFrame:
     """Run a stream over what is there and read its result; times come out zone-less."""
-    plain = [
-        F.col(f.name).cast("timestamp_ntz").alias(f.name)
-        if f.dataType.typeName() == "timestamp"
-        else F.col(f.name)
-        for f in df.schema.fields
-    ]
     out, checkpoint = shared_dir(spark, label), shared_dir(spark, f"{label}-checkpoint")
-    return run_to_end(df.select(*plain), out, checkpoint)
+    return run_to_end(_plain(df), out, checkpoint, end, at_once=True)
+
+
+def _event_end(spark: SparkSession) -> EndOfInput:
+    return EndOfInput(spark, shared_dir(spark, "events-end"), EVENTS, "ts")
 
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
+def _line_end(spark: SparkSession) -> EndOfInput:
+    return EndOfInput(spark, shared_dir(spark, "lines-end"), LINEITEM, "l_shipdate")
+
+
+def _event_stream(spark: SparkSession, sf: str, end: EndOfInput | None = None) -> DataFrame:
     """Events as a stream; the glob lets a table be one file or a folder of files."""
-    stream = scan_stream(spark, f"{sf}/events.parquet*", EVENTS, "ts")
+    stream = scan_stream(spark, f"{sf}/events.parquet*", EVENTS, "ts", end=end)
     return stream.withColumnRenamed("event_type", "signal")
 
 
-def _line_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return scan_stream(spark, f"{sf}/lineitem.parquet*", LINEITEM, "l_shipdate")
+def _line_stream(spark: SparkSession, sf: str, end: EndOfInput | None = None) -> DataFrame:
+    return scan_stream(spark, f"{sf}/lineitem.parquet*", LINEITEM, "l_shipdate", end=end)
+
+
+def _day_series(readings: DataFrame) -> DataFrame:
+    return tumble(
+        readings, "ts", "1 day", ["user_id", "signal"], [F.avg("value").alias("observed_value")]
+    )
 
 
 @query
 def stream_tumble(spark, sf):
-    """Windows of a stream, emitted once when the watermark passes their end."""
+    """Windows of a stream, each emitted once; the end of the input closes the last."""
     with stream_session(spark):
+        end = _event_end(spark)
         windows = tumble(
-            _event_stream(spark, sf),
+            _event_stream(spark, sf, end),
             "ts",
             "1 minute",
             ["signal"],
             [F.avg("value").alias("avg_value"), F.count(F.lit(1)).alias("reading_count")],
         )
-        return rounded(_stored(spark, shown(windows), "stream_tumble"))
+        return rounded(_stored(spark, shown(windows), "stream_tumble", end))
 
 
 @query
 def stream_band_rows(spark, sf):
     with stream_session(spark):
-        series = tumble(
-            _event_stream(spark, sf),
-            "ts",
-            "1 day",
-            ["user_id", "signal"],
-            [F.avg("value").alias("observed_value")],
-        )
+        end = _event_end(spark)
         judged = stream_band(
-            series, ["user_id", "signal"], "window_time", "observed_value", EVENT_BAND
+            _day_series(_event_stream(spark, sf, end)),
+            ["user_id", "signal"],
+            "window_time",
+            "observed_value",
+            EVENT_BAND,
         )
-        return _stored(spark, band_rows(judged), "stream_band")
+        return _stored(spark, band_rows(judged), "stream_band", end)
 
 
 @query
 def stream_escalate(spark, sf):
     """One chained job from wide telemetry to escalated entities."""
     with stream_session(spark):
-        anomalies = signal_anomalies(_line_stream(spark, sf), LINE_WATCH)
-        return _stored(spark, rounded(at_risk(anomalies, LINE_WATCH)), "stream_escalate")
+        end = _line_end(spark)
+        anomalies = signal_anomalies(_line_stream(spark, sf, end), LINE_WATCH)
+        return _stored(spark, rounded(at_risk(anomalies, LINE_WATCH)), "stream_escalate", end)
 
 
 @query
 def stream_diagnose(spark, sf):
     """The same job with the diagnosis behind it."""
     with stream_session(spark):
-        anomalies = signal_anomalies(_line_stream(spark, sf), LINE_WATCH)
+        end = _line_end(spark)
+        anomalies = signal_anomalies(_line_stream(spark, sf, end), LINE_WATCH)
         diagnosed = diagnose(at_risk(anomalies, LINE_WATCH), LINE_WATCH)
-        return _stored(spark, rounded(diagnosed), "stream_diagnose")
+        return _stored(spark, rounded(diagnosed), "stream_diagnose", end)
 
 
 @query
@@ -1003,11 +1040,122 @@ def stream_actions(spark, sf):
         (done, lambda diagnosed: act(diagnosed, LINE_WATCH)),
     ]
     with stream_session(spark):
-        risks = at_risk(signal_anomalies(_line_stream(spark, sf), LINE_WATCH), LINE_WATCH)
-        plain = risks.withColumns(
-            {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
-        )
+        end = _line_end(spark)
+        risks = at_risk(signal_anomalies(_line_stream(spark, sf, end), LINE_WATCH), LINE_WATCH)
         checkpoint = shared_dir(spark, "stream_actions-checkpoint")
-        start_written_steps(plain, steps, checkpoint).awaitTermination()
+        drain(lambda: start_written_steps(_plain(risks), steps, checkpoint), end, at_once=True)
         # The folders of the batches show as one more column.
         return scan(spark, done, ACTIONS).select(*ACTIONS.fieldNames())
+
+
+#: Up to here the history is stored, from here on it is live.
+LIVE_FROM = "2024-01-16"
+#: A user's series starts anew after so long a silence.
+RETIRE = "3 days"
+EVENT_KEYS = ["user_id", "signal"]
+
+
+def seeded_band(spark: SparkSession, sf: str, cut: str, config: BandConfig) -> DataFrame:
+    """Bands of the history by the batch operator, and of the rest by a stream it seeds."""
+    with stream_session(spark):
+        end = _event_end(spark)
+        readings = events(spark, sf).withColumnRenamed("event_type", "signal")
+        past = _day_series(readings.where(F.col("ts") < F.lit(cut).cast("timestamp_ntz")))
+        series = ("window_time", "observed_value", config)
+        seed = create_table_as(
+            band_seed(past, EVENT_KEYS, *series), shared_dir(spark, "band_seed")
+        )
+        live = _event_stream(spark, sf, end).where(F.col("ts") >= F.lit(cut).cast("timestamp"))
+        judged = stream_band(_day_series(live), EVENT_KEYS, *series, seed=seed)
+        after = _stored(spark, band_rows(judged), "stream_band_seeded", end)
+        return band_rows(event_bands(past, config)).unionByName(after)
+
+
+@query
+def stream_band_seeded(spark, sf):
+    return seeded_band(spark, sf, LIVE_FROM, EVENT_BAND)
+
+
+@query
+def stream_band_retired(spark, sf):
+    """A series forgets its history after a long silence, and its state goes."""
+    with stream_session(spark):
+        end = _event_end(spark)
+        judged = stream_band(
+            _day_series(_event_stream(spark, sf, end)),
+            EVENT_KEYS,
+            "window_time",
+            "observed_value",
+            EVENT_BAND,
+            retire=RETIRE,
+        )
+        return _stored(spark, band_rows(judged), "stream_band_retired", end)
+
+
+@query
+def stream_rejects(spark, sf):
+    """Rows of a stream that break the contract, kept beside the rows that do not."""
+    stream = scan_stream(spark, f"{sf}/events.parquet*", EVENTS)
+    gappy = _gappy_columns(stream)
+    accepted, rejected, checkpoint = (
+        shared_dir(spark, f"stream_{name}") for name in ("accepted", "rejects", "split")
+    )
+    drain(lambda: start_split(gappy, GAPPY_COLUMNS, accepted, rejected, checkpoint))
+    return scan_batches(spark, rejected, gappy.schema)
+
+
+def _arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """Events in four slices of eight days; one in ten comes a slice later."""
+    day = F.dayofmonth("ts") - 1
+    slice_ = F.floor(day / 8) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    return events(spark, sf).withColumn("slice", F.least(slice_, F.lit(3)))
+
+
+@query
+def stream_late_rows_rows(spark, sf):
+    """Rows that came after their hour had closed, with the watermark they met."""
+    with stream_session(spark):
+        arrivals = _arrivals(spark, sf)
+        source, accepted, late, marks, checkpoint = (
+            shared_dir(spark, f"late_{name}")
+            for name in ("source", "accepted", "rows", "marks", "checkpoint")
+        )
+        for number in range(4):  # each slice is one micro-batch
+            part = arrivals.where(F.col("slice") == number).drop("slice")
+            part.write.mode("append").parquet(source)
+            stream = scan_stream(spark, source, EVENTS)
+            start_late_split(
+                stream, "ts", "1 hour", "5 seconds", accepted, late, marks, checkpoint
+            ).awaitTermination()
+        found = scan_batches(spark, late, schema_of(f"{EVENTS_TEXT}, watermark timestamp"))
+        return found.select(
+            "event_id", "ts", "user_id", F.col("watermark").cast("timestamp_ntz").alias("watermark")
+        )
+
+
+def line_stages() -> list[Stage]:
+    """Windows, anomalies, escalations and diagnoses, each a job with a table of its own."""
+    return [
+        Stage("windows", lambda df: windowed_signals(df, LINE_WATCH), "l_shipdate"),
+        Stage(
+            "anomalies",
+            lambda df: anomaly_table(window_anomalies(df, LINE_WATCH)),
+            "window_time",
+        ),
+        Stage("at_risk", lambda df: at_risk(df, LINE_WATCH), "window_time"),
+        Stage("diagnosed", lambda df: diagnose(df, LINE_WATCH)),
+    ]
+
+
+@query
+def stream_stage_tables(spark, sf):
+    """Four jobs, each streaming the table that the one before writes."""
+    with stream_session(spark):
+        jobs = StagedTables(
+            lambda end: _line_stream(spark, sf, end),
+            shared_dir(spark, "stream_stages"),
+            line_stages(),
+            _line_end(spark),
+        )
+        jobs.close()
+        return rounded(_plain(jobs.table("diagnosed", spark)))

@@ -64,11 +64,16 @@ def signal_series(telemetry: DataFrame, watch: Watch) -> DataFrame:
 
 def signal_anomalies(telemetry: DataFrame, watch: Watch) -> DataFrame:
     """Anomaly records of all signals; works on a batch and on a watermarked stream."""
-    if telemetry.isStreaming and watch.history_span is not None:
+    return window_anomalies(windowed_signals(telemetry, watch), watch)
+
+
+def window_anomalies(windows: DataFrame, watch: Watch) -> DataFrame:
+    """The same from the rows of ``windowed_signals``, say of a stored table of them."""
+    if windows.isStreaming and watch.history_span is not None:
         raise ValueError("history_span splits stored series; a stream keeps its own state")
-    if telemetry.isStreaming:
+    if windows.isStreaming:
         judged = stream_band(
-            windowed_signals(telemetry, watch),
+            windows,
             [watch.entity],
             "window_time",
             watch.signals,
@@ -77,7 +82,7 @@ def signal_anomalies(telemetry: DataFrame, watch: Watch) -> DataFrame:
         )
     else:
         judged = detect_signals(
-            windowed_signals(telemetry, watch),
+            windows,
             [watch.entity],
             "window_time",
             watch.signals,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,37 @@ def scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+@dataclass(frozen=True)
+class EndOfInput:
+    """A folder beside a stream's table whose one row says that no more will come.
+
+    A watermark trails the newest row, so the last windows of a bounded table would stay open
+    for ever.  The row lies far in the future: it moves the watermark past every window.  Its
+    own window never closes, so it shows in no windowed result; without a window, drop rows
+    from ``END`` on.  Put filters behind the first window: one that the row does not
+    pass would be moved before the watermark and hold it back.
+    """
+
+    spark: SparkSession
+    path: str
+    schema: T.StructType
+    ts: str
+
+    def __post_init__(self):
+        self._write([])
+
+    def mark(self) -> None:
+        self._write([{self.ts: END}])
+
+    def _write(self, rows: list[dict]) -> None:
+        fields = [T.StructField(f.name, f.dataType) for f in self.schema.fields]
+        row = self.spark.createDataFrame(rows, T.StructType(fields))
+        row.coalesce(1).write.mode("append").parquet(self.path)
+
+
+END = dt.datetime(9000, 1, 1)
+
+
 def scan_stream(
     spark: SparkSession,
     path: str,
@@ -21,15 +54,19 @@ def scan_stream(
     ts: str | None = None,
     delay: str = "5 seconds",
     files_per_trigger: int | None = None,
+    end: EndOfInput | None = None,
 ) -> DataFrame:
     """The same table as a stream, from its first file on, with an event-time watermark.
 
-    A zone-less time column becomes a timestamp, since a watermark needs one.
+    A zone-less time column becomes a timestamp, since a watermark needs one.  With ``end``
+    the stream can be closed; see ``run_to_end``.
     """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     df = reader.parquet(path)
+    if end is not None:
+        df = df.unionByName(spark.readStream.schema(schema).parquet(end.path))
     if ts is None:
         return df
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)

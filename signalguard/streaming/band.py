@@ -2,97 +2,42 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from signalguard.operators.detect import BandConfig
+from signalguard.operators.detect import BandConfig, span_hours
+from signalguard.streaming.prefix import Moments, band, merge, prefixes, suffixes
 
+#: Rows judged together; the output of so many rows is held, never that of a whole backlog.
+CHUNK = 4096
+#: Tail states kept under one entry of the state store.
+PLACES = 64
 
-class _Moments:
-    """Running moments of (x, y); the batch operator's arithmetic on plain floats."""
+# Numbers are kept as bytes of doubles; those of ``x`` only where the model looks at them.
+_HEAD = "row bigint, at bigint, last binary, moments binary, timer bigint"
+_POINTS = "x binary, y binary"
 
-    __slots__ = ("n", "mx", "my", "sxx", "syy", "sxy")
 
-    def __init__(self, n=0.0, mx=0.0, my=0.0, sxx=0.0, syy=0.0, sxy=0.0):
-        self.n, self.mx, self.my = n, mx, my
-        self.sxx, self.syy, self.sxy = sxx, syy, sxy
-
-    def numbers(self) -> tuple:
-        return (self.n, self.mx, self.my, self.sxx, self.syy, self.sxy)
-
-    def add(self, x: float | None, y: float | None) -> None:
-        if x is None or y is None:
-            return
-        self.n += 1
-        dx, dy = x - self.mx, y - self.my
-        self.mx += dx / self.n
-        self.my += dy / self.n
-        self.sxx += dx * (x - self.mx)
-        self.syy += dy * (y - self.my)
-        self.sxy += dx * (y - self.my)
-
-    def plus(self, other: _Moments) -> _Moments:
-        if not self.n or not other.n:
-            return self if self.n else other
-        n = self.n + other.n
-        dx, dy = other.mx - self.mx, other.my - self.my
-        weight = self.n * other.n / n
-        return _Moments(
-            n,
-            self.mx + dx * other.n / n,
-            self.my + dy * other.n / n,
-            self.sxx + other.sxx + dx * dx * weight,
-            self.syy + other.syy + dy * dy * weight,
-            self.sxy + other.sxy + dx * dy * weight,
-        )
-
-
-def _flat(moments: Sequence[_Moments]) -> list[float]:
-    """The state of all signals as one list of numbers."""
-    return [number for m in moments for number in m.numbers()]
-
-
-def _unflat(numbers: Sequence[float]) -> list[_Moments]:
-    return [_Moments(*numbers[i : i + 6]) for i in range(0, len(numbers), 6)]
-
-
-def _band(m: _Moments, config: BandConfig, z: float, x: float | None):
-    """(forecast, upper, lower), or Nones before enough training."""
-    if m.n < config.min_training:
-        return None, None, None
-    if config.model == "mean":
-        forecast, spread = m.my, math.sqrt(m.syy / (m.n - 1))
-    elif x is None or m.sxx == 0.0:
-        return None, None, None
-    else:
-        slope = m.sxy / m.sxx
-        forecast = m.my + slope * (x - m.mx)
-        spread = math.sqrt(max(m.syy - slope * m.sxy, 0.0) / (m.n - 2))
-    return forecast, forecast + z * spread, forecast - z * spread
-
-
-def _tails(block: Sequence[tuple], signals: int) -> list[list[float]]:
-    """For each place in a block, the moments from there to the block's end."""
-    running, found = [_Moments() for _ in range(signals)], []
-    for xs, ys in reversed(block):
-        for m, x, y in zip(running, xs, ys, strict=True):
-            m.add(x, y)
-        found.append(_flat(running))
-    return found[::-1]
+def _numbers(data: bytes, *shape: int) -> np.ndarray:
+    return np.frombuffer(data).reshape(shape)
 
 
 class BandProcessor(StatefulProcessor):
     """Keeps the history of one key's signals and judges its rows in time order.
 
     With a cap of N rows the state is the running block of at most N rows and, for the
-    block before it, the moments of each of its tails.  A row costs one lookup and one
-    append; a full pass over the block happens once per N rows.
+    block before it, the moments of each of its tails.  A row costs one merge; a full pass
+    over the block happens once per N rows.
+
+    After a silence of more than ``retire`` hours a key starts anew.  Its rows decide that, so
+    the result does not depend on how the rows came in batches; a timer only frees the
+    state of keys that stay silent.
     """
 
     def __init__(
@@ -101,67 +46,203 @@ class BandProcessor(StatefulProcessor):
         key_names: Sequence[str],
         signals: Sequence[str],
         only_anomalies: bool,
+        retire: float | None = None,
     ):
         self.config = config
         self.key_names = list(key_names)
-        self.signals = list(signals)
+        self.signals = np.array(signals, dtype=object)
         self.only_anomalies = only_anomalies
+        self.retire = None if retire is None else round(retire * 3.6e9)
+
+    # --- state -------------------------------------------------------------------------
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.head = handle.getValueState(
-            "head", "row bigint, last array<double>, moments array<double>"
-        )
+        self.handle = handle
+        self.head_state = handle.getValueState("head", _HEAD)
         if self.config.max_training is not None:
-            self.points = handle.getListState("points", "x array<double>, y array<double>")
-            self.tails = handle.getMapState("tails", "place int", "moments array<double>")
+            self.point_state = handle.getListState("points", _POINTS)
+            self.tail_state = handle.getMapState("tails", "place int", "moments binary")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("at")
-        config, cap, z = self.config, self.config.max_training, self.config.z
+    def _start(self) -> None:
+        """No history: the key is new, or was silent for too long."""
         width = len(self.signals)
-        row, last, head = 0, [None] * width, [_Moments() for _ in range(width)]
-        if self.head.exists():
-            row, last, numbers = self.head.get()
-            head = _unflat(numbers)
-        fresh: list[tuple] = []
-        tails: list[list[float]] | None = None  # of a block that ended in this call
-        out: list[tuple] = []
-        columns = [batch[f"y{i}"].to_list() for i in range(width)]
-        for ts, hours, *raw in zip(batch["at"], batch["hours"].to_list(), *columns, strict=True):
-            ys = [None if y is None or y != y else y for y in raw]
-            xs = last if config.model == "ar1" else [hours] * width
-            if cap is not None and row and row % cap == 0:
-                stored = list(self.points.get()) if tails is None else []
-                tails = _tails([*stored, *fresh], width)
-                head, fresh = [_Moments() for _ in range(width)], []
-            history = head
-            if cap is not None and row >= cap:
-                place = row % cap
-                tail = self.tails.getValue((place,))[0] if tails is None else tails[place]
-                history = [a.plus(b) for a, b in zip(_unflat(tail), head, strict=True)]
-            for signal, x, y, past in zip(self.signals, xs, ys, history, strict=True):
-                forecast, upper, lower = _band(past, config, z, x)
-                odd = y is not None and upper is not None and (y > upper or y < lower)
-                if odd or not self.only_anomalies:
-                    out.append((signal, ts, y, forecast, upper, lower, odd, int(past.n)))
-            for m, x, y in zip(head, xs, ys, strict=True):
-                m.add(x, y)
-            if cap is not None:
-                fresh.append((xs, ys))
-            row, last = row + 1, ys
-        if tails is not None:
-            self.points.clear()
+        self.row, self.at, self.last = 0, None, np.full(width, np.nan)
+        self.head = Moments.none(width)
+        self.fresh: list[tuple[np.ndarray, np.ndarray]] = []  # points not yet stored
+        self.tails: Moments | None = None  # of a block that ended in this call
+        self.anew = True  # whether stored points and tails are void
+
+    def _load(self) -> None:
+        self._start()
+        self.anew, self.timer = False, 0
+        if self.head_state.exists():
+            self.row, self.at, last, numbers, self.timer = self.head_state.get()
+            self.last = _numbers(last, -1)
+            self.head = Moments.from_flat(_numbers(numbers, -1, 6))
+
+    def _save(self) -> None:
+        if self.retire is not None and not self.timer and self.at is not None:
+            self.timer = self._due()
+            self.handle.registerTimer(self.timer)
+        self.head_state.update(
+            (self.row, self.at, self.last.tobytes(), self.head.flat().tobytes(), self.timer)
+        )
+        cap = self.config.max_training
+        if cap is None:
+            return
+        if self.anew:
+            self.point_state.clear()
+            self.tail_state.clear()
+        if self.tails is not None:
+            numbers = self.tails.flat()
             # Only the places of rows still to come are read again.
-            for place in range(row % cap or cap, cap):
-                self.tails.updateValue((place,), (tails[place],))
-        if fresh:
-            self.points.appendList(fresh)
-        self.head.update((row, last, _flat(head)))
-        if out:
-            frame = pd.DataFrame(out, columns=_OUT.fieldNames())
-            for name, part in zip(self.key_names, key, strict=True):
-                frame[name] = part
-            yield frame[self.key_names + _OUT.fieldNames()]
+            for part in range((self.row % cap or cap) // PLACES, -(-cap // PLACES)):
+                some = numbers[part * PLACES : (part + 1) * PLACES]
+                self.tail_state.updateValue((part,), (some.tobytes(),))
+        if self.fresh:
+            paired = self.config.paired
+            self.point_state.appendList(
+                [(xs.tobytes() if paired else b"", ys.tobytes()) for xs, ys in self.fresh]
+            )
+
+    def _due(self) -> int:
+        """When the key may be forgotten, in milliseconds."""
+        return (self.at + self.retire) // 1000 + 1
+
+    def _end_block(self) -> None:
+        """The running block is full: its tails serve the next one."""
+        width = len(self.signals)
+        stored = [] if self.anew else list(self.point_state.get())
+        points = []
+        for xs, ys in stored:
+            ys = _numbers(ys, -1, width)
+            points.append((_numbers(xs, -1, width) if xs else np.zeros(ys.shape), ys))
+        points += self.fresh
+        self.tails = suffixes(*[np.concatenate(part) for part in zip(*points, strict=True)])
+        self.head, self.fresh, self.anew = Moments.none(width), [], True
+
+    def _tails(self, first: int, last: int) -> Moments:
+        """The tail states of places ``first`` to ``last`` of the block before."""
+        if self.tails is not None:
+            return self.tails.rows(slice(first, last))
+        parts = range(first // PLACES, (last - 1) // PLACES + 1)
+        found = [self.tail_state.getValue((part,))[0] for part in parts]
+        flat = np.concatenate([_numbers(f, -1, len(self.signals), 6) for f in found])
+        skipped = parts[0] * PLACES
+        return Moments.from_flat(flat).rows(slice(first - skipped, last - skipped))
+
+    # --- rows --------------------------------------------------------------------------
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Take over what ``band_seed`` found in the stored history of the key."""
+        width, cap = len(self.signals), self.config.max_training
+        for seed in initialState.itertuples(index=False):
+            self._start()
+            self.timer = 0
+            self.row, self.at = int(seed.rows), int(seed.micros)
+            self.last = np.array(seed.last, dtype=float)
+            if cap is None:
+                self.head = Moments.from_flat(
+                    np.array(seed.moments, dtype=float).reshape(width, 6)
+                )
+            else:
+                xs = np.array(seed.xs, dtype=float).reshape(-1, width)
+                ys = np.array(seed.ys, dtype=float).reshape(-1, width)
+                here = self.row - (self.row - 1) // cap * cap  # rows of the running block
+                if len(ys) > here:
+                    self.tails = suffixes(xs[:-here], ys[:-here])
+                self.fresh = [(xs[-here:], ys[-here:])]
+                self.head = prefixes(xs[-here:], ys[-here:]).rows(-1)
+            self._save()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        micros, hours, ats, ys = self._read(rows)
+        self._load()
+        cap, n = self.config.max_training, len(micros)
+        gaps = np.zeros(n, bool)
+        if self.retire is not None:
+            gaps[1:] = np.diff(micros) > self.retire
+            gaps[0] = self.at is not None and micros[0] - self.at > self.retire
+        starts = [*np.flatnonzero(gaps).tolist(), n]
+        i = 0
+        while i < n:
+            if gaps[i]:
+                self._start()
+                starts = starts[1:]
+            until = min(i + CHUNK, starts[0])
+            if cap is not None:
+                if self.row and self.row % cap == 0:
+                    self._end_block()
+                until = min(until, i + cap - self.row % cap)
+            found = self._judge(key, hours[i:until], ats[i:until], ys[i:until])
+            self.row, self.at = self.row + until - i, int(micros[until - 1])
+            i = until
+            if found is not None:
+                yield found
+        self._save()
+
+    def _read(self, rows: Iterator[pd.DataFrame]):
+        """All rows of the key as arrays in time order, read chunk by chunk."""
+        parts = [
+            (
+                part["micros"].to_numpy(),
+                part["hours"].to_numpy(dtype=float),
+                part["at"].to_numpy(),
+                part[[f"y{i}" for i in range(len(self.signals))]].to_numpy(dtype=float),
+            )
+            for part in rows
+        ]
+        whole = [np.concatenate(p) if len(p) > 1 else p[0] for p in zip(*parts, strict=True)]
+        order = np.argsort(whole[0], kind="stable")
+        return [p[order] for p in whole]
+
+    def _judge(self, key, hours, ats, ys) -> pd.DataFrame | None:
+        """Judge consecutive rows of one block and add them to the history."""
+        config = self.config
+        if config.model == "ar1":
+            xs = np.concatenate([self.last[None], ys[:-1]])
+        else:
+            xs = np.repeat(hours[:, None], ys.shape[1], axis=1)
+        upto = prefixes(xs, ys)
+        before = Moments(*[np.concatenate([np.zeros((1, ys.shape[1])), p[:-1]]) for p in upto])
+        before = merge(self.head, before)
+        if config.max_training is not None:
+            if self.row >= config.max_training:
+                place = self.row % config.max_training
+                before = merge(self._tails(place, place + len(ys)), before)
+            self.fresh.append((xs, ys))
+        forecast, upper, lower = band(before, xs, config.model, config.min_training, config.z)
+        odd = (ys > upper) | (ys < lower)  # a comparison with NaN is false
+        self.head, self.last = merge(self.head, upto.rows(-1)), ys[-1]
+        if self.only_anomalies and not odd.any():
+            return None
+        row, signal = np.nonzero(odd if self.only_anomalies else np.ones_like(odd))
+        found = dict(zip(self.key_names, key, strict=True)) | {
+            "name": self.signals[signal],
+            "ts": ats[row],
+            "value": ys[row, signal],
+            "forecast_value": forecast[row, signal],
+            "upper_bound": upper[row, signal],
+            "lower_bound": lower[row, signal],
+            "is_anomaly": odd[row, signal],
+            "training_size": before.n[row, signal].astype(np.int64),
+        }
+        return pd.DataFrame(found)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """Forget the key, or look again when its newest row has aged."""
+        if self.head_state.exists():
+            row, self.at, last, numbers, timer = self.head_state.get()
+            due = self._due()
+            if due > timerValues.getCurrentWatermarkInMs():
+                self.handle.registerTimer(due)
+                self.head_state.update((row, self.at, last, numbers, due))
+            else:
+                self.head_state.clear()
+                if self.config.max_training is not None:
+                    self.point_state.clear()
+                    self.tail_state.clear()
+        return iter([])
 
     def close(self) -> None:
         pass
@@ -180,6 +261,22 @@ _OUT = (
 )
 
 
+def _rows(
+    df: DataFrame, keys: Sequence[str], ts: str, names: Sequence[str], config: BandConfig
+) -> DataFrame:
+    """Keys, time and values under the names the processor reads."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    origin = F.unix_micros(F.lit(config.time_origin).cast("timestamp"))
+    # The worker renames columns that start with an underscore.
+    return df.select(
+        *keys,
+        F.col(ts).alias("at"),
+        micros.alias("micros"),
+        ((micros - origin).cast("double") / F.lit(3.6e9)).alias("hours"),
+        *[F.col(name).cast("double").alias(f"y{i}") for i, name in enumerate(names)],
+    )
+
+
 def stream_band(
     df: DataFrame,
     keys: Sequence[str],
@@ -188,6 +285,8 @@ def stream_band(
     config: BandConfig = BandConfig(),
     out: str = "r",
     only_anomalies: bool = False,
+    retire: str | None = None,
+    seed: DataFrame | None = None,
 ) -> DataFrame:
     """``detect_anomalies`` on a stream of windowed rows.
 
@@ -197,27 +296,30 @@ def stream_band(
     signals of a key.  ``only_anomalies`` drops the other rows before they leave the
     Python worker.
 
+    ``retire``, such as ``"7 days"``: a key that was silent for longer starts anew, and the
+    state of keys that stay silent goes away.  ``seed``, from ``band_seed``: the history of
+    each key before the stream's first row, so that a live job need not replay it.
+
     Put it after ``tumble``: windows close in event-time order, so the rows of a key
-    arrive in order, at most one per window.  The time column stays usable for a further
-    window.  Keys must not be NULL.  Needs the RocksDB state store.
+    arrive in order, at most one per window.  The rows of a key in one micro-batch are held
+    as arrays of numbers; bound them by the source's files per trigger.  The time column
+    stays usable for a further window.  Keys must not be NULL.  Needs the RocksDB state
+    store.
     """
     wide = not isinstance(values, str)
     names = list(values) if wide else [values]
-    origin = F.lit(config.time_origin).cast("timestamp")
-    hours = (F.unix_micros(F.col(ts)) - F.unix_micros(origin)).cast("double") / F.lit(3.6e9)
-    # The worker renames columns that start with an underscore.
-    rows = df.select(
-        *keys,
-        F.col(ts).alias("at"),
-        hours.alias("hours"),
-        *[F.col(name).cast("double").alias(f"y{i}") for i, name in enumerate(names)],
-    )
-    judged = rows.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=BandProcessor(config, keys, names, only_anomalies),
-        outputStructType=T.StructType(df.select(*keys).schema.fields + _OUT.fields),
-        outputMode="Append",
-        timeMode="EventTime",
-        eventTimeColumnName="ts",
+    hours = None if retire is None else span_hours(retire)
+    judged = (
+        _rows(df, keys, ts, names, config)
+        .groupBy(*keys)
+        .transformWithStateInPandas(
+            statefulProcessor=BandProcessor(config, keys, names, only_anomalies, hours),
+            outputStructType=T.StructType(df.select(*keys).schema.fields + _OUT.fields),
+            outputMode="Append",
+            timeMode="EventTime",
+            initialState=None if seed is None else seed.groupBy(*keys),
+            eventTimeColumnName="ts",
+        )
     )
     return judged.select(
         *keys,
@@ -228,3 +330,75 @@ def stream_band(
             "forecast_value", "upper_bound", "lower_bound", "is_anomaly", "training_size"
         ).alias(out),
     )
+
+
+def band_seed(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    values: str | Sequence[str],
+    config: BandConfig = BandConfig(),
+    retire: str | None = None,
+) -> DataFrame:
+    """The state of every key after its stored windowed rows, one row per key.
+
+    The same columns and settings as for the ``stream_band`` it seeds.  Without a cap the
+    moments are aggregated; with a cap of N rows the last block and the one before it
+    travel, at most 2 N rows of a key.  With ``retire`` only rows after a key's last long
+    silence count.
+    """
+    names = [values] if isinstance(values, str) else list(values)
+    rows = _rows(df, keys, ts, names, config).where(F.col("micros").isNotNull())
+    whole = Window.partitionBy(*keys).orderBy("micros")
+    cells = range(len(names))
+    rows = rows.withColumns({f"y{i}": F.nanvl(f"y{i}", F.lit(None).cast("double")) for i in cells})
+    if retire is not None:
+        gap = F.col("micros") - F.lag("micros").over(whole) > round(span_hours(retire) * 3.6e9)
+        anew = F.max(F.when(gap, F.col("micros"))).over(Window.partitionBy(*keys))
+        rows = rows.withColumn("anew", anew).where("anew IS NULL OR micros >= anew")
+    x = {i: F.col("hours") for i in cells}
+    if config.model == "ar1":
+        rows = rows.withColumns({f"x{i}": F.lag(f"y{i}").over(whole) for i in cells})
+        x = {i: F.col(f"x{i}") for i in cells}
+    numbers = lambda columns: F.array(
+        *[F.coalesce(c, F.lit(float("nan"))) for c in columns]
+    )
+    state = [
+        F.count(F.lit(1)).alias("rows"),
+        F.max("micros").alias("micros"),
+        F.max_by(numbers([F.col(f"y{i}") for i in cells]), "micros").alias("last"),
+    ]
+    if config.max_training is None:
+        pairs = [
+            (
+                F.regr_count(y, x[i]).cast("double"),
+                F.regr_avgx(y, x[i]),
+                F.regr_avgy(y, x[i]),
+                F.regr_sxx(y, x[i]),
+                F.regr_syy(y, x[i]),
+                F.regr_sxy(y, x[i]),
+            )
+            for i in cells
+            for y in [F.col(f"y{i}")]
+        ]
+        flat = F.array(*[F.coalesce(c, F.lit(0.0)) for signal in pairs for c in signal])
+        return rows.groupBy(*keys).agg(*state, flat.alias("moments"))
+    cap = config.max_training
+    total = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    rows = rows.withColumns({"place": F.row_number().over(whole) - 1, "total": total})
+    point = F.struct(
+        "place",
+        numbers([x[i] for i in cells]).alias("x"),
+        numbers([F.col(f"y{i}") for i in cells]).alias("y"),
+    )
+    near = F.col("place") >= (F.floor((F.col("total") - 1) / cap) - 1) * cap
+    points = F.sort_array(F.collect_list(F.when(near, point)))
+    seeds = rows.groupBy(*keys).agg(*state, points.alias("points"))
+    return seeds.select(
+        *keys,
+        "rows",
+        "micros",
+        "last",
+        F.flatten(F.transform("points", lambda p: p["x"])).alias("xs"),
+        F.flatten(F.transform("points", lambda p: p["y"])).alias("ys"),
+    )

@@ -6,10 +6,11 @@ from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from signalguard.session import settings
-from signalguard.sources.tables import scan
+from signalguard.sources.tables import EndOfInput, scan, split_not_null
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -68,20 +69,83 @@ def start_written_steps(
 ) -> StreamingQuery:
     """Apply (path, step) pairs to each micro-batch; a step reads what the one before wrote.
 
-    For calls with cost or side effects: no call's result is used before it is stored.  A
-    batch owns the folder ``batch_id=<n>`` of each path and replaces it when retried.
+    For calls with cost or side effects: no call's result is used before it is stored, and
+    a retried batch takes up its work after the last step it had finished.  A batch owns the
+    folder ``batch_id=<n>`` of each path, so a path belongs to one checkpoint: the batches
+    of another would be taken for done.
     """
 
     def act(batch: DataFrame, batch_id: int) -> None:
         for path, step in steps:
-            result, folder = step(batch), f"{path}/batch_id={batch_id}"
-            result.write.mode("overwrite").parquet(folder)
-            batch = scan(result.sparkSession, folder, result.schema)
+            batch = write_once(step(batch), f"{path}/batch_id={batch_id}")
 
     return start_actions(df, act, checkpoint, **trigger)
 
 
-def run_to_end(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
+def write_once(result: DataFrame, folder: str) -> DataFrame:
+    """Write a folder unless a write of it has been committed before; a scan of it."""
+    spark = result.sparkSession
+    if not committed(spark, folder):
+        result.write.mode("overwrite").parquet(folder)
+    return scan(spark, folder, result.schema)
+
+
+def committed(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to the folder ran to its end: committers leave a mark there."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
+def start_split(
+    df: DataFrame, columns: Sequence[str], accepted: str, rejected: str, checkpoint: str, **trigger
+) -> StreamingQuery:
+    """One stream to two tables: rows with all of ``columns`` set, and the rows rejected.
+
+    Every row is in one of them, once: a micro-batch writes a folder of its own in each, and
+    a retried one writes only those it had not finished.  Read them by ``scan_batches``.
+    """
+
+    def split(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        try:
+            for path, part in zip((accepted, rejected), split_not_null(held, columns), strict=True):
+                write_once(part, f"{path}/batch_id={batch_id}")
+        finally:
+            held.unpersist()
+
+    return start_actions(df, split, checkpoint, **trigger)
+
+
+def scan_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table of ``batch_id=<n>`` folders, without that column."""
+    return scan(spark, path, schema).select(*schema.fieldNames())
+
+
+def drain(
+    start: Callable[[], StreamingQuery], end: EndOfInput | None = None, at_once: bool = False
+) -> None:
+    """Process what is available; with ``end``, then close the input and every window.
+
+    The closing is a second run from the same checkpoint, after all rows: the watermark
+    cannot overtake rows that are still waiting, however many micro-batches they make.
+    ``at_once`` closes in the first run, which is right only where everything there is makes
+    one micro-batch, that is without a limit of files per trigger.
+    """
+    if end is not None and at_once:
+        end.mark()
+    start().awaitTermination()
+    if end is not None and not at_once:
+        end.mark()
+        start().awaitTermination()
+
+
+def run_to_end(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    end: EndOfInput | None = None,
+    at_once: bool = False,
+) -> DataFrame:
     """Process what is available into a table and return a scan of it."""
-    start_table(df, path, checkpoint).awaitTermination()
+    drain(lambda: start_table(df, path, checkpoint), end, at_once)
     return scan(df.sparkSession, path, df.schema)
