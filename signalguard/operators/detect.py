@@ -29,6 +29,8 @@ from signalguard.functions.moments import (
     state_columns,
 )
 from signalguard.functions.scalar import direction_label, hours_since, round_half_up
+from signalguard.session import shared_dir
+from signalguard.sources.tables import create_table_as
 
 MODELS = ("mean", "trend", "ar1")
 
@@ -111,8 +113,8 @@ def detect_anomalies(
     rows that went through ``tumble``: a series then has at most one row per window,
     however hot its entity is.  For series without such a bound give ``history_span``
     (say ``"7 days"``): a series is then cut into time chunks that are summed on many
-    tasks, and the sums before each chunk are added to its rows.  Both ways agree up
-    to floating-point rounding.
+    tasks, and the sums before each chunk are added to its rows; the rows are written to the
+    shared folder for that.  Both ways agree up to floating-point rounding.
     """
     judged = _judge(df, list(series), ts, {"_r0": value}, config, history_span)
     # One-row generation keeps later filters on the result from being pushed below the
@@ -279,11 +281,16 @@ def span_hours(span: str) -> float:
 def _chunked(
     df: DataFrame, keys: list[str], ts: str, slots: list[_Slot], config: BandConfig, span: str
 ) -> DataFrame:
-    """The same history, with no task holding more than one chunk of a key."""
+    """The same history, with no task holding more than one chunk of a key.
+
+    The rows are stored once: the totals of the chunks and the rows that they are carried
+    into both come from that table, not from the scan and the windows behind it.
+    """
     # A struct equals itself also where a field is NULL, so no series and no row is lost.
     hours = hours_since(df, ts, config.time_origin)
     number = F.floor(hours / F.lit(span_hours(span)))
     df = df.withColumns({"_key": F.struct(*keys), "_chunk": F.struct(number.alias("n"))})
+    df = create_table_as(df, shared_dir(df.sparkSession, "chunks"))
     chunk = Window.partitionBy("_key", "_chunk").orderBy(ts)
     chunks = Window.partitionBy("_key").orderBy("_chunk")
     before = chunks.rowsBetween(Window.unboundedPreceding, -1)

@@ -235,9 +235,12 @@ def dispatch_step(_: str, text: str, key: str, seen: list[Observation]) -> ToolC
     if len(seen) == 1:
         return ToolCall("http_post", {"key": key, "body": order})
     posted = seen[1]
-    reply = posted.text if posted.ok else UNREACHABLE_RESPONSE
-    if not posted.ok and posted.reachable:
-        reply = f"FAILED: {posted.text}"
+    if posted.ok:
+        reply = posted.text
+    elif posted.timed_out:  # the order may have arrived all the same
+        reply = f"UNKNOWN: {posted.text}"
+    else:
+        reply = f"FAILED: {posted.text}" if posted.reachable else UNREACHABLE_RESPONSE
     target = order["shop_id"] or "the watch list"
     status = rule.status if rule else "UNKNOWN"
     return (
@@ -251,10 +254,40 @@ def dispatch_agent(
     http_get: Callable[[dict, str, float], str] | None = None,
     http_post: Callable[[dict, str, float], str] | None = None,
 ) -> AgentSpec:
-    """The dispatcher with the caller's tools; a missing tool counts as unreachable."""
-    tools = {"http_get": http_get, "http_post": http_post}
-    return AgentSpec(
-        name="dispatcher",
-        step=dispatch_step,
-        tools={name: tool for name, tool in tools.items() if tool is not None},
+    """The dispatcher with the caller's tools; without one, its endpoint is unreachable."""
+    tools = {"http_get": http_get or no_endpoint, "http_post": http_post or no_endpoint}
+    return AgentSpec(name="dispatcher", step=dispatch_step, tools=tools)
+
+
+def no_endpoint(arguments: dict, key: str, timeout: float) -> str:
+    """A tool whose endpoint nobody listens at."""
+    raise ConnectionRefusedError("no endpoint is configured")
+
+
+def offer_lists(
+    centers: DataFrame,
+    entity: str,
+    shop: str = "shop_id",
+    miles: str = "miles",
+    specialty: str = "specialty",
+    out: str = "offers",
+) -> DataFrame:
+    """Per entity a JSON list of the offers the dispatcher can choose: (entity, out).
+
+    Those are the nearest of all and the nearest of each specialty that parts are known for
+    (ties: the smallest shop), so an entity has four at most, however many shops serve it.
+    They are found before the shuffle, as partial minima.
+    """
+    offer = F.struct(
+        F.col(miles).isNull().alias("unknown"),
+        F.col(miles).alias("miles"),
+        F.col(shop).cast("string").alias("shop_id"),
+        F.col(specialty).alias("specialty"),
+    )
+    best = [F.min(offer)]
+    best += [F.min(F.when(F.col(specialty) == word, offer)) for word in PARTS_BY_CAUSE]
+    listed = F.transform(
+        F.array_distinct(F.array_compact(F.array(*best))),
+        lambda o: F.struct(o["shop_id"], o["miles"], o["specialty"]),
     )
+    return centers.groupBy(entity).agg(F.to_json(listed).alias(out))

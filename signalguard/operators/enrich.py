@@ -7,6 +7,7 @@ once, so write their result to a table before acting on it.
 from __future__ import annotations
 
 import re
+import socket
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -128,14 +129,49 @@ class ToolCall:
 class Observation:
     """What a tool call returned; ``ok`` is False when it failed or is not allowed.
 
-    ``reachable`` is False when no reply came at all: no such tool, no connection, no
-    answer in time.
+    ``reachable`` is False when no reply came: no connection, or no answer in time.  After
+    the latter, ``timed_out``, what was asked for may still have been done.
     """
 
     call: ToolCall
     ok: bool
     text: str
     reachable: bool = True
+    timed_out: bool = False
+
+
+class ToolThreads:
+    """At most ``size`` tool calls at a time; a call that hangs is left to its thread.
+
+    When as many calls hang as there are threads, new threads take their place, so one dead
+    service costs threads, never the task.
+    """
+
+    def __init__(self, size: int = 1):
+        self.size, self.hung = size, 0
+        self.pool = ThreadPoolExecutor(max_workers=size)
+
+    def call(self, tool: Callable[[dict, str, float], str], *arguments, timeout: float) -> str:
+        asked = self.pool.submit(tool, *arguments)
+        try:
+            return asked.result(timeout=timeout)
+        except TimeoutError:
+            if not asked.done():
+                self.hung += 1
+                if self.hung >= self.size:
+                    self.close()
+                    self.hung, self.pool = 0, ThreadPoolExecutor(max_workers=self.size)
+            raise
+
+    def close(self) -> None:
+        self.pool.shutdown(wait=False)
+
+
+def _no_reply(error: Exception) -> bool:
+    """Whether nobody answered; an HTTP error has a code, a missing file is a fault of ours."""
+    reason = getattr(error, "reason", error)
+    silence = (ConnectionError, TimeoutError, socket.gaierror)
+    return isinstance(reason, silence) and not hasattr(error, "code")
 
 
 @dataclass(frozen=True)
@@ -152,30 +188,47 @@ class AgentSpec:
     max_iterations: int = 10
     request_timeout: float = 30.0
 
-    def use(self, call: ToolCall, key: str) -> Observation:
+    def use(
+        self,
+        call: ToolCall,
+        key: str,
+        replies: Mapping[str, str | None] | None = None,
+        threads: ToolThreads | None = None,
+    ) -> Observation:
+        """The tool's reply; ``replies`` are those already known, by tool."""
+        if replies and call.name in replies:
+            known = replies[call.name]
+            return Observation(call, known is not None, known or "nothing is known")
         tool = self.tools.get(call.name)
         if tool is None:
-            return Observation(call, False, f"tool {call.name} is not allowed", reachable=False)
-        # The tool is told its time limit and is left behind when it does not keep it.
-        pool = ThreadPoolExecutor(max_workers=1)
+            return Observation(call, False, f"tool {call.name} is not allowed")
+        own = threads or ToolThreads()
         try:
-            asked = pool.submit(tool, call.arguments, key, self.request_timeout)
-            return Observation(call, True, asked.result(timeout=self.request_timeout))
+            limit = self.request_timeout
+            return Observation(
+                call, True, own.call(tool, call.arguments, key, limit, timeout=limit)
+            )
         except Exception as error:  # a failing tool is an answer for the agent, not for Spark
-            # An HTTP error has a code: somebody answered.
-            silent = isinstance(error, (OSError, TimeoutError)) and not hasattr(error, "code")
-            return Observation(call, False, f"{type(error).__name__}: {error}", not silent)
+            text, late = f"{type(error).__name__}: {error}", isinstance(error, TimeoutError)
+            return Observation(call, False, text, not _no_reply(error), late)
         finally:
-            pool.shutdown(wait=False)
-
-    def run(self, text: str, key: str) -> str | None:
+            if threads is None:
+                own.close()
+
+    def run(
+        self,
+        text: str,
+        key: str,
+        replies: Mapping[str, str | None] | None = None,
+        threads: ToolThreads | None = None,
+    ) -> str | None:
         """The agent's answer; None when it has none after ``max_iterations`` steps."""
         seen: list[Observation] = []
         for _ in range(self.max_iterations):
             move = self.step(self.instructions, text, key, seen)
             if isinstance(move, str):
                 return move
-            seen.append(self.use(move, key))
+            seen.append(self.use(move, key, replies, threads))
         return None
 
 
@@ -187,30 +240,42 @@ def run_agent(
     out: str = "response",
     concurrency: int = 1,
     tasks: int | None = None,
+    replies: Mapping[str, Column | str] | None = None,
 ) -> DataFrame:
     """Run the agent on each row; a row without input gets a NULL answer.
 
     ``concurrency`` rows of a task are in flight together, which pays when tools wait
-    on a network.
+    on a network.  ``replies`` names tools whose reply is a column of the row, found by a
+    join before: such a tool answers from tables and calls nobody; a NULL is no reply.
     """
+    known_replies = dict(replies or {})
+    names = list(known_replies)
 
-    def one(text: str | None, key: str | None) -> str | None:
-        return None if text is None else spec.run(text, key)
+    def one(text: str | None, key: str | None, threads: ToolThreads, *known) -> str | None:
+        if text is None:
+            return None
+        return spec.run(text, key, dict(zip(names, known, strict=True)), threads)
 
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        threads = ToolThreads(concurrency)
         with ThreadPoolExecutor(max_workers=concurrency) as pool:
-            for texts, keys in batches:
-                yield pd.Series(
-                    list(pool.map(one, _nullable(texts), _nullable(keys))), dtype=object
+            for texts, keys, *known in batches:
+                columns = [_nullable(c) for c in (texts, keys, *known)]
+                answers = pool.map(
+                    lambda row: one(row[0], row[1], threads, *row[2:]),
+                    zip(*columns, strict=True),
                 )
+                yield pd.Series(list(answers), dtype=object)
+        threads.close()
 
     run.__annotations__ = {
-        "batches": Iterator[tuple[pd.Series, pd.Series]],
+        "batches": Iterator[tuple[pd.Series, ...]],
         "return": Iterator[pd.Series],
     }
     call = F.pandas_udf(run, T.StringType())
     as_column = lambda c: F.col(c) if isinstance(c, str) else c
-    return spread(df, tasks).withColumn(out, call(as_column(text), as_column(key)))
+    arguments = [as_column(c) for c in (text, key, *known_replies.values())]
+    return spread(df, tasks).withColumn(out, call(*arguments))
 
 
 def _nullable(values: pd.Series) -> list[str | None]:

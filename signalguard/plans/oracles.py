@@ -642,4 +642,60 @@ SELECT event_id, ts, user_id, watermark
 FROM arrivals JOIN marks USING (slice)
 WHERE {_bucket('ts', '1 hour')} + INTERVAL '1 hour' <= watermark""",
     "stream_stage_tables": _diagnosed_query(),
+    "agent_ledger": f"""WITH {ACTIONS}
+SELECT l_suppkey || '_' || window_start AS key, raw_response AS response,
+       CAST(CASE WHEN l_suppkey % 3 <> 0 THEN 0 ELSE 1 END AS BIGINT) AS delivery
+FROM actions""",
+    "action_stage_tools": f"""WITH {LINE_RISKS}, {RULE_CTES},
+causes AS (
+  SELECT * REPLACE (likely_cause || CASE l_suppkey % 3 WHEN 0 THEN ' (vibration)'
+                                     WHEN 1 THEN ' (engine_temp)' ELSE '' END AS likely_cause),
+         CASE l_suppkey % 3 WHEN 0 THEN 'vibration' WHEN 1 THEN 'engine_temp' END AS word,
+         CASE severity WHEN 'CRITICAL' THEN 'URGENT' WHEN 'HIGH' THEN 'PRIORITY'
+                       ELSE 'SCHEDULED' END AS status,
+         CASE severity WHEN 'CRITICAL' THEN 50 WHEN 'HIGH' THEN 200 END AS most
+  FROM diagnosed
+),
+centers AS (
+  SELECT l_suppkey, 'SHOP-' || l_partkey AS shop,
+         l_quantity * 3 + CASE WHEN l_suppkey % 4 = 3 THEN 60 ELSE 0 END AS miles,
+         CASE WHEN l_tax > 0.06 THEN 'vibration' WHEN l_tax > 0.03 THEN 'engine_temp'
+              ELSE 'oil_pressure' END AS specialty
+  FROM lineitem
+),
+nearest AS (
+  SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY miles, shop) AS place,
+         row_number() OVER (PARTITION BY l_suppkey, specialty ORDER BY miles, shop) AS special
+  FROM centers
+),
+offered AS (
+  SELECT c.*,
+         CASE WHEN severity = 'HIGH' AND s.miles <= 200 THEN s.shop
+              WHEN most IS NULL OR a.miles <= most THEN a.shop ELSE 'SHOP-AUSTIN' END AS shop_id,
+         CASE WHEN severity = 'HIGH' AND s.miles <= 200 THEN s.miles
+              WHEN most IS NULL OR a.miles <= most THEN a.miles END AS eta
+  FROM causes c
+  LEFT JOIN nearest a ON a.l_suppkey = c.l_suppkey AND a.place = 1
+  LEFT JOIN nearest s ON s.l_suppkey = c.l_suppkey AND s.special = 1 AND s.specialty = c.word
+),
+told AS (
+  SELECT *, l_suppkey || ' goes to ' || shop_id || ' as ' || status || '.' AS dispatch_summary,
+         '{{"action": "dispatch_maintenance", "truck_id": "' || l_suppkey || '", "severity": "'
+         || severity || '", "status": "' || status || '", "shop_id": "' || shop_id
+         || '", "eta_miles": ' || coalesce(CAST(CAST(floor(eta) AS BIGINT) AS VARCHAR), 'null')
+         || ', "parts_to_pre_stage": ['
+         || CASE word WHEN 'vibration' THEN '"wheel bearing kit"'
+                      WHEN 'engine_temp' THEN '"coolant pump"' ELSE '' END
+         || '], "diagnosis": "' || likely_cause || '"}}' AS dispatch_json,
+         CASE l_suppkey % 5 WHEN 0 THEN 'MOCKED: 200 OK'
+              WHEN 1 THEN 'FAILED: PostRefused: order refused'
+              ELSE '201 for ' || l_suppkey || '_' || window_start END AS api_response
+  FROM offered
+)
+SELECT CAST(l_suppkey AS VARCHAR) AS l_suppkey, window_start, severity, likely_cause,
+       recommended_action, dispatch_summary, dispatch_json, api_response,
+       'Dispatch Summary:' || chr(10) || dispatch_summary || chr(10) || chr(10)
+       || 'Dispatch JSON:' || chr(10) || dispatch_json || chr(10) || chr(10)
+       || 'API Response:' || chr(10) || api_response AS raw_response
+FROM told""",
 }

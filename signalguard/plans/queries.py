@@ -38,8 +38,10 @@ from signalguard.operators.detect import (
     union_branches,
 )
 from signalguard.operators.dispatch import (
+    dispatch_agent,
     dispatch_json,
     dispatch_policy,
+    offer_lists,
     parts_for,
     shop_lookup,
 )
@@ -50,6 +52,7 @@ from signalguard.operators.escalate import (
     list_signals,
     signal_pivot,
 )
+from signalguard.operators.ledger import Ledger
 from signalguard.operators.windows import (
     average_signals,
     public_window_time,
@@ -554,12 +557,12 @@ def _by_week(spark, sf, *aggregates: Column) -> DataFrame:
 
 @query
 def distinct_signals_rows(spark, sf):
-    return _by_week(spark, sf, distinct_signals().alias("signals_tripped"))
+    return _by_week(spark, sf, distinct_signals(signals=EVENT_SIGNALS).alias("signals_tripped"))
 
 
 @query
 def list_signals_rows(spark, sf):
-    return _by_week(spark, sf, list_signals().alias("tripped_signals"))
+    return _by_week(spark, sf, list_signals(signals=EVENT_SIGNALS).alias("tripped_signals"))
 
 
 @query
@@ -942,6 +945,64 @@ def action_stage(spark, sf):
     return _actions(spark, sf)
 
 
+def _tool_diagnoses(spark, sf) -> DataFrame:
+    """Diagnoses whose cause names one of two specialties, or none, stored."""
+    word = (
+        F.when(F.col("l_suppkey") % 3 == 0, " (vibration)")
+        .when(F.col("l_suppkey") % 3 == 1, " (engine_temp)")
+        .otherwise("")
+    )
+    diagnosed = diagnose(line_risks(spark, sf), LINE_WATCH)
+    named = diagnosed.withColumn("likely_cause", F.concat("likely_cause", word))
+    return create_table_as(named, shared_dir(spark, "diagnosed"))
+
+
+def _far_centers(spark, sf) -> DataFrame:
+    """Line items as offers, those of every fourth supplier beyond the shortest limit."""
+    far = F.when(F.col("l_suppkey") % 4 == 3, 60.0).otherwise(0.0)
+    centers = _centers(spark, sf).withColumnRenamed("user_id", "l_suppkey")
+    return centers.withColumn("miles", F.col("miles") * 3 + far)
+
+
+class PostRefused(OSError):
+    code = 403
+
+
+def post_order(arguments: dict, key: str, timeout: float) -> str:
+    """An endpoint that is down for some vehicles and refuses the orders of others."""
+    vehicle = int(arguments["body"]["truck_id"])
+    if vehicle % 5 == 0:
+        raise ConnectionError("no route")
+    if vehicle % 5 == 1:
+        raise PostRefused("order refused")
+    return f"201 for {key}"
+
+
+@query
+def action_stage_tools(spark, sf):
+    """The agent with tools: shops from a table, orders taken, refused or not deliverable."""
+    return act(
+        _tool_diagnoses(spark, sf),
+        LINE_WATCH,
+        dispatch_agent(http_post=post_order),
+        concurrency=4,
+        offers=offer_lists(_far_centers(spark, sf), "l_suppkey"),
+    )
+
+
+@query
+def agent_ledger(spark, sf):
+    """Two deliveries that overlap: the second calls the agent for new invocations only."""
+    diagnosed = create_table_as(
+        diagnose(line_risks(spark, sf), LINE_WATCH), shared_dir(spark, "diagnosed")
+    )
+    path = shared_dir(spark, "ledger")
+    deliveries = [diagnosed.where(F.col("l_suppkey") % 3 != 0), diagnosed]
+    for number, rows in enumerate(deliveries):
+        act(rows, LINE_WATCH, ledger=Ledger(spark, path, number))
+    return Ledger(spark, path).rows()
+
+
 # --- streams -------------------------------------------------------------------------
 
 

@@ -27,6 +27,7 @@ from signalguard.operators.detect import (
 from signalguard.operators.dispatch import dispatch_agent
 from signalguard.operators.enrich import AgentSpec, Model, RuleModel, ml_predict, run_agent
 from signalguard.operators.escalate import escalate
+from signalguard.operators.ledger import Ledger
 from signalguard.operators.windows import average_signals, public_window_time
 from signalguard.streaming.band import stream_band
 
@@ -124,22 +125,39 @@ def act(
     agent: AgentSpec | None = None,
     concurrency: int = 1,
     tasks: int | None = None,
+    offers: DataFrame | None = None,
+    ledger: Ledger | None = None,
 ) -> DataFrame:
     """Run the dispatch agent on each diagnosis and parse its report.
 
-    Agents may have side effects: read ``diagnosed`` from a written table, and let the
-    tools drop repeats of an invocation key.
+    ``offers``, from ``offer_lists``, has what looking shops up returns for an entity; an
+    entity without a row has no shops.  Agents may have side effects: read ``diagnosed``
+    from a written table, and give a ``ledger``, which keeps finished invocations from being
+    made again.
     """
-    asked = run_agent(
-        diagnosed,
-        agent or dispatch_agent(),
-        agent_input(watch.entity, watch.signals, watch.null_text),
-        invocation_key(watch.entity),
-        out="raw_response",
-        concurrency=concurrency,
-        tasks=tasks,
-    )
-    parsed = parse_sections(asked, "raw_response", ACTION_SECTIONS)
+    given = diagnosed.columns
+    replies = None
+    if offers is not None:
+        diagnosed = diagnosed.join(offers, watch.entity, "left")
+        replies = {"http_get": F.coalesce(F.col("offers"), F.lit("[]"))}
+
+    def call(rows: DataFrame) -> DataFrame:
+        return run_agent(
+            rows,
+            agent or dispatch_agent(),
+            agent_input(watch.entity, watch.signals, watch.null_text),
+            invocation_key(watch.entity),
+            out="raw_response",
+            concurrency=concurrency,
+            tasks=tasks,
+            replies=replies,
+        )
+
+    if ledger is None:
+        asked = call(diagnosed)
+    else:
+        asked = ledger.call(diagnosed, invocation_key(watch.entity), call, "raw_response")
+    parsed = parse_sections(asked.select(*given, "raw_response"), "raw_response", ACTION_SECTIONS)
     return parsed.select(
         F.coalesce(F.col(watch.entity).cast("string"), F.lit("UNKNOWN")).alias(watch.entity),
         "window_start",

@@ -12,6 +12,7 @@ from signalguard.operators.dispatch import (
     dispatch_agent,
     dispatch_json,
     dispatch_policy,
+    offer_lists,
     parts_for,
     shop_lookup,
 )
@@ -19,12 +20,15 @@ from signalguard.operators.enrich import (
     AgentSpec,
     RuleModel,
     ToolCall,
+    ToolThreads,
     input_fields,
     lateral_apply,
     ml_predict,
     run_agent,
 )
+from signalguard.operators.ledger import Ledger
 from signalguard.schemas import DISPATCH, schema_of
+from signalguard.session import shared_dir
 
 
 # Workers cannot import test modules.
@@ -225,3 +229,77 @@ def test_dispatch_json_has_eight_fields(spark):
     assert list(order) == DISPATCH.fieldNames()
     assert order["severity"] == "LOW" and order["shop_id"] is None
     assert order["parts_to_pre_stage"] == []
+
+
+def test_a_tool_that_is_not_allowed_is_no_silence():
+    spec = AgentSpec("a", None, {"here": good})
+    seen = spec.use(ToolCall("elsewhere", {}), "k")
+    assert not seen.ok and seen.reachable
+    missing = AgentSpec("a", None, {"read": lambda a, k, t: open("/no/such/file").read()})
+    assert missing.use(ToolCall("read", {}), "k").reachable  # our fault, nobody's silence
+
+
+def test_an_order_without_an_answer_in_time_is_unknown():
+    def late(arguments, key, timeout):
+        raise TimeoutError("no answer")
+
+    answer = dispatch_agent(shops, late).run(agent_text("CRITICAL", "vibration"), "k")
+    assert answer.endswith("UNKNOWN: TimeoutError: no answer")
+
+
+def test_hung_calls_cost_threads_and_not_the_task():
+    import threading
+
+    wait = threading.Event()
+    threads = ToolThreads(2)
+    for _ in range(5):
+        with pytest.raises(TimeoutError):
+            threads.call(lambda a: wait.wait(20), {}, timeout=0.05)
+    assert threads.call(lambda a: "ok", {}, timeout=5) == "ok"
+    wait.set()
+    threads.close()
+
+
+def test_replies_from_columns(spark):
+    spec = AgentSpec("a", step_report, {"good": good}, request_timeout=30.0)
+    df = spark.createDataFrame([("x", "k1", "table"), ("y", "k2", None)], "t string, k string, r string")
+    got = run_agent(df, spec, "t", "k", concurrency=2, replies={"bad": "r"})
+    answers = {r.k: r.response.split(" | ")[1] for r in got.collect()}
+    assert answers == {"k1": "bad:True:table", "k2": "bad:False:nothing is known"}
+
+
+def test_offer_lists_hold_all_the_dispatcher_can_choose(spark):
+    rows = [("t", f"S{i % 9}", None if i == 5 else float(i * 37 % 50), ["vibration", "x", None][i % 3])
+            for i in range(40)]
+    centers = spark.createDataFrame(rows, "e string, shop_id string, miles double, specialty string")
+    (row,) = offer_lists(centers, "e").collect()
+    offers = json.loads(row.offers)
+    assert 1 <= len(offers) <= 4
+    whole = json.dumps([{"shop_id": s, "miles": m, "specialty": p} for _, s, m, p in rows])
+    for severity in ("CRITICAL", "HIGH", "MEDIUM"):
+        text = agent_text(severity, "vibration")
+        short = dispatch_agent(lambda a, k, t: row.offers, good).run(text, "k")
+        full = dispatch_agent(lambda a, k, t: whole, good).run(text, "k")
+        assert order_of(short) == order_of(full)
+
+
+def test_ledger_calls_each_key_once(spark):
+    path = shared_dir(spark, "ledger")
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None)], "id int, k string")
+
+    def run(rows, delivery):
+        calls = spark.sparkContext.accumulator(0)
+
+        def call(todo):
+            asked = todo.withColumn("out", F.concat(F.lit(f"{delivery}:"), "k"))
+            calls.add(asked.count())
+            return asked
+
+        found = Ledger(spark, path, delivery).call(rows, F.col("k"), call, "out")
+        return {r.id: r.out for r in found.collect()}, calls.value
+
+    assert run(df.where("id = 2"), 0) == ({2: "0:b"}, 1)
+    # A retried and wider delivery: b is not called again, the two rows of a share a call.
+    assert run(df, 1) == ({1: "1:a", 2: "0:b", 3: "1:a", 4: None}, 1)
+    assert run(df, 2) == ({1: "1:a", 2: "0:b", 3: "1:a", 4: None}, 0)
+    assert Ledger(spark, path).rows().count() == 2

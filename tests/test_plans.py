@@ -40,3 +40,19 @@ def test_lookups_do_not_broadcast_by_hint_or_cross(spark):
         text = frame._jdf.queryExecution().toString()
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
         assert "ResolvedHint" not in text
+
+
+def test_split_detector_scans_the_source_once(spark):
+    """Totals and rows come from one stored table of windows, which is no second tumble."""
+    for name in ("eda_band", "band_split_mean", "band_split_trend", "band_split_ar1",
+                 "band_split_max_training"):
+        plan = plan_of(entry.queries()[name](spark, DATA))
+        assert "events.parquet" not in plan and "chunks-" in plan
+        assert "window(" not in plan.lower() or "PreciseTimestampConversion" not in plan
+
+
+def test_roll_up_has_state_of_fixed_size(spark):
+    for name in ("at_risk_entities", "distinct_signals", "list_signals", "escalate_multi_signal"):
+        plan = plan_of(entry.queries()[name](spark, DATA))
+        assert "HashAggregate" in plan
+        assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan

@@ -2,10 +2,12 @@
 
 import datetime as dt
 import random
+import sys
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from test_streams import READINGS, START, WATCH, as_set, batch_rows, readings, write_file
 
@@ -38,6 +40,9 @@ from signalguard.streaming.staged import Stage, StagedTables
 
 KEEP = ["k", "window_time", "v", "r.*"]
 
+# Workers cannot import test modules.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 @pytest.fixture(scope="module")
 def telemetry(spark):
@@ -359,31 +364,34 @@ def test_every_row_is_accepted_or_rejected_once(spark, telemetry):
 
 
 def test_a_retried_batch_goes_on_after_its_finished_steps(spark, telemetry):
-    """The second step fails once; the restarted batch does not call the first step again."""
+    """The second step fails once; the restarted batch does not make the first one's calls."""
     first, second, checkpoint = (shared_dir(spark, n) for n in ("s1", "s2", "c"))
     calls = spark.sparkContext.accumulator(0)
     broken = [True]
 
     def paid(batch):
-        calls.add(1)
-        return batch.select("k", "t")
+        def call(rows):
+            for row in rows:
+                calls.add(len(row))
+                yield row
+
+        return batch.select("k", "t").mapInPandas(call, "k string, t timestamp")
 
     def fails_once(batch):
-        if broken.pop() if broken else False:
+        if broken and broken.pop():
             raise RuntimeError("lost")
         return batch.withColumn("done", F.lit(True))
 
-    def called(frame_step):
-        return lambda batch: frame_step(batch)
-
+    rows = batch_rows(spark, telemetry).count()
     with stream_session(spark, 2):
         stream = scan_stream(spark, telemetry, READINGS)
-        steps = [(first, called(paid)), (second, called(fails_once))]
+        steps = [(first, paid), (second, fails_once)]
         with pytest.raises(Exception, match="lost"):
             start_written_steps(stream, steps, checkpoint).awaitTermination()
+        assert calls.value == rows
         start_written_steps(stream, steps, checkpoint).awaitTermination()
-    done = spark.read.parquet(second)
-    assert done.count() == batch_rows(spark, telemetry).count()
+    assert spark.read.parquet(second).count() == rows
+    assert calls.value == rows
 
 
 # --- jobs chained by tables ------------------------------------------------------------
