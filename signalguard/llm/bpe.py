@@ -42,11 +42,11 @@ def tokenizer(path: str):
     return found
 
 
-def _newcomers() -> str:
+def _newcomers() -> frozenset[str]:
     """Letters and digits of the pattern library that an older Unicode does not know yet."""
     known = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x40000)]))
     found = regex.findall(r"[\p{L}\p{N}]", known)
-    return "".join(c for c in found if unicodedata.category(c) == "Cn")
+    return frozenset(c for c in found if unicodedata.category(c) == "Cn")
 
 
 def splitter(special: Sequence[str], own=None):
@@ -56,10 +56,10 @@ def splitter(special: Sequence[str], own=None):
     splitting, if given.
     """
     plain = regex.compile(SPLIT).findall
-    odd = regex.compile("[" + regex.escape(_newcomers()) + "]").search if own else None
+    newcomers = _newcomers() if own else frozenset()
 
     def words(text: str) -> list[str]:
-        if odd is None or text.isascii() or not odd(text):
+        if text.isascii() or newcomers.isdisjoint(text):
             return plain(text)
         return [text[a:b] for _, (a, b) in own.pre_tokenize_str(text)]
 
