@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalguard.llm.base import Shared, pieces, utf8
+from signalguard.llm.base import Shared, pieces, stored, utf8
 
 GRAMS = 2048  # hashed byte trigrams
 SHAPES = 24  # kinds of words
@@ -163,10 +163,19 @@ def fit(
     marks = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("double").alias("_label"))
     marks = marks.where(F.col("_id").isNotNull() & F.col("_label").isNotNull())
     marks = marks.groupBy("_id").agg(F.avg("_label").alias("_label"))
-    rows = docs.select(F.col(doc_id).alias("_key"), utf8(text).alias("_text"))
+    # Ids are chosen without their texts; only those of the sample are fetched.
+    there = docs.select(F.col(doc_id).alias("_id"))
+    chosen = (
+        marks.join(there, "_id", "left_semi")
+        .withColumn("_hash", F.xxhash64("_id"))
+        .orderBy("_hash", "_label")
+        .limit(most_labelled)
+    )
+    chosen = stored(chosen, "quality-sample")
+    rows = docs.select(F.col(doc_id).alias("_id"), utf8(text).alias("_text"))
     sample = (
-        rows.join(marks, F.col("_key") == F.col("_id"))
-        .select("_label", "_text", F.xxhash64("_key").alias("_hash"))
+        rows.join(chosen, "_id")
+        .select("_label", "_text", "_hash")
         .orderBy("_hash", "_label", F.length("_text"))
         .limit(most_labelled)
     )
