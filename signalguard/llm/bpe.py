@@ -30,6 +30,8 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 
 _CHUNK_BYTES = 32 << 20
 _CHUNK_WORDS = 600_000
+#: Encoded words that a task packs together for the chunks that list them.
+_HELD_WORDS = 300_000
 
 
 def tokenizer(path: str):
@@ -197,27 +199,63 @@ def _chunks(path: str):
     return run
 
 
+def _pack_ids(codes: np.ndarray, ids: Sequence[bytes]) -> bytes:
+    lengths = np.fromiter(map(len, ids), "<u4", len(ids))
+    head = np.array([len(ids)], dtype="<u4").tobytes()
+    numbers = np.frombuffer(b"".join(ids), np.uint8).reshape(-1, 4).T  # by planes of bytes
+    plain = head + lengths.tobytes() + codes.astype("<u4").tobytes() + numbers.tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(plain)
+
+
+def _unpack_ids(packed: bytes) -> Iterator[tuple[int, bytes]]:
+    plain = zstandard.ZstdDecompressor().decompress(packed)
+    count = int(np.frombuffer(plain, "<u4", 1)[0])
+    ends = np.cumsum(np.frombuffer(plain, "<u4", count, 4), dtype=np.int64).tolist()
+    codes = np.frombuffer(plain, "<u4", count, 4 + 4 * count).tolist()
+    planes = np.frombuffer(plain, np.uint8, offset=4 + 8 * count).reshape(4, -1)
+    data = np.ascontiguousarray(planes.T).tobytes()
+    start = 0
+    for code, end in zip(codes, ends, strict=True):
+        yield code, data[start:end]
+        start = end
+
+
 def _encode(path: str):
-    """Ids of sorted words, each distinct one encoded once, for every chunk that lists it."""
+    """Ids of sorted words, each distinct one encoded once, packed for the chunks that list it."""
+
+    def packed(chunks: list[int], codes: list[int], ids: list[bytes]) -> pa.RecordBatch:
+        chunk, code = np.array(chunks, np.int64), np.array(codes, np.uint32)
+        order = np.argsort(chunk, kind="stable")
+        names, first = np.unique(chunk[order], return_index=True)
+        parts = [
+            _pack_ids(code[part], [ids[i] for i in part.tolist()])
+            for part in np.split(order, first[1:])
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names, pa.int64()), pa.array(parts, pa.binary())], names=["chunk", "ids"]
+        )
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = tokenizer(path)
         last: tuple[str, bytes] | None = None
+        held: tuple[list, list, list] = ([], [], [])
         for batch in batches:
             words = batch.column("word").to_pylist()
             fresh = [
                 w for i, w in enumerate(words) if w != (words[i - 1] if i else last and last[0])
             ]
             done = iter(found.encode_batch_fast(fresh, add_special_tokens=False))
-            ids = []
+            held[0].extend(batch.column("chunk").to_pylist())
+            held[1].extend(batch.column("code").to_pylist())
             for word in words:
                 if last is None or word != last[0]:
                     last = (word, array("I", next(done).ids).tobytes())
-                ids.append(last[1])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), batch.column("code"), pa.array(ids, pa.binary())],
-                names=["chunk", "code", "ids"],
-            )
+                held[2].append(last[1])
+            if len(held[0]) >= _HELD_WORDS:
+                yield packed(*held)
+                held = ([], [], [])
+        if held[0]:
+            yield packed(*held)
 
     return run
 
@@ -227,9 +265,8 @@ def _assemble(shared: Shared):
 
     def run(words: pa.Table, texts: pa.Table) -> pa.Table:
         table = shared.load()
-        ids_of = [b""] * len(words)
-        for code, ids in zip(words["code"].to_pylist(), words["ids"].to_pylist(), strict=True):
-            ids_of[code] = ids
+        found = dict(pair for part in words["ids"].to_pylist() for pair in _unpack_ids(part))
+        ids_of = [found[code] for code in range(len(found))]
         # Each id meets its piece once per distinct word of the chunk.
         bytes_of = [b"".join(map(table.__getitem__, array("I", ids))) for ids in ids_of]
         ids, decoded = [], []
@@ -280,7 +317,7 @@ def encode_and_decode(
         words.mapInArrow(_unpack_words, "word string, chunk bigint, code int")
         .repartition("word")
         .sortWithinPartitions("word")
-        .mapInArrow(_encode(path), "chunk bigint, code int, ids binary")
+        .mapInArrow(_encode(path), "chunk bigint, ids binary")
     )
     pieces_by_id = Shared(spark, piece_table(path))
     texts = stored.where(F.col("codes").isNotNull()).select("chunk", "codes", "held")
