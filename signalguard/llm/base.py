@@ -61,6 +61,16 @@ def pieces(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Ite
         yield start, found
 
 
+def as_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that no name of theirs can clash with working columns."""
+    return F.struct(*[F.col(f"`{name}`") for name in df.columns])
+
+
+def from_row(columns: list[str], row: str = "row", **changed: Column) -> list[Column]:
+    """The columns of such a struct again, some of them changed."""
+    return [changed.get(name, F.col(row).getField(name)).alias(name) for name in columns]
+
+
 class Shared:
     """A broadcast object whose class need not be installed where it is read."""
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalguard.llm.base import LOWER, pieces, stored, utf8
+from signalguard.llm.base import LOWER, as_row, from_row, pieces, stored, utf8
 from signalguard.llm.components import components
 
 BLOCKS = (13, 13, 13, 13, 12)  # bits
@@ -273,12 +273,13 @@ def one_per_group(
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "version")
     first = grouped.groupBy("component").agg(F.min(rank).alias("_first"))
     winners = first.select(
-        F.struct("_first.last", "_first.doc_id", "_first.version").alias("_row")
+        F.struct("_first.last", "_first.doc_id", "_first.version").alias("key")
     ).distinct()
-    row = F.struct(
+    key = F.struct(
         F.col(doc_id).isNull().alias("last"),
         F.col(doc_id).alias("doc_id"),
         F.xxhash64(text).alias("version"),
     )
-    kept = docs.withColumn("_row", row).join(winners, "_row", "left_semi")
-    return kept.dropDuplicates(["_row"]).select(*docs.columns)
+    rows = docs.select(key.alias("key"), as_row(docs).alias("row"))
+    kept = rows.join(winners, "key", "left_semi").dropDuplicates(["key"])
+    return kept.select(*from_row(docs.columns))

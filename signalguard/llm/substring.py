@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from signalguard.llm.base import pieces, stored, utf8
+from signalguard.llm.base import as_row, from_row, pieces, stored, utf8
 
 _BREAKS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[^\S\n]*\n\s*")}
 _UNITS = pa.schema(
@@ -23,7 +23,7 @@ _UNITS = pa.schema(
 )
 
 
-def units_of(text: str, unit: str = "line", least_letters: int = 5):
+def units_of(text: str, unit: str = "line", least_letters: int = 1):
     """(number, start, end, digest) of each unit with enough characters.
 
     Blanks are not counted, and a unit of nothing else is never one.
@@ -70,7 +70,7 @@ def repeated_units(
     doc_id: str = "doc_id",
     text: str = "text",
     unit: str = "line",
-    least_letters: int = 5,
+    least_letters: int = 1,
 ) -> DataFrame:
     """Every unit that repeats an earlier one: doc_id, version, unit, start, end, keep_*.
 
@@ -141,12 +141,14 @@ def removed_spans(docs: DataFrame, repeats: DataFrame, doc_id: str = "doc_id", t
 def remove_repeats(docs: DataFrame, repeats: DataFrame, doc_id: str = "doc_id", text: str = "text"):
     """The documents, all columns, with repeated units cut out of ``text``; breaks stay."""
     key = F.struct(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"))
-    joined = docs.withColumn("_doc", key).join(_spans(repeats), "_doc", "left")
+    rows = docs.select(key.alias("_doc"), as_row(docs).alias("row"))
+    joined = rows.join(_spans(repeats), "_doc", "left")
+    whole = F.col("row").getField(text)
     starts = F.concat(F.array(F.lit(0)), F.transform("_spans", lambda s: s["end"]))
-    ends = F.concat(F.transform("_spans", lambda s: s["start"]), F.array(F.length(text)))
+    ends = F.concat(F.transform("_spans", lambda s: s["start"]), F.array(F.length(whole)))
     parts = F.transform(
         F.arrays_zip(starts.alias("a"), ends.alias("b")),
-        lambda s: F.substring(F.col(text), s["a"] + 1, s["b"] - s["a"]),
+        lambda s: F.substring(whole, s["a"] + 1, s["b"] - s["a"]),
     )
-    cleaned = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(F.concat_ws("", parts))
-    return joined.withColumn(text, cleaned).select(*docs.columns)
+    cleaned = F.when(F.col("_spans").isNull(), whole).otherwise(F.concat_ws("", parts))
+    return joined.select(*from_row(docs.columns, **{text: cleaned}))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections import Counter, defaultdict
@@ -133,44 +132,44 @@ def line_hash(norm):
 
 
 def line_groups(docs):
-    """{(doc, line): kept (doc, line)} of the judged lines of [(doc, text)]."""
-    lines = {}
+    """{(doc, line): kept (doc, line)} of lines with a word, by the word edits of all pairs."""
+    lines = defaultdict(list)
     for doc, text in docs:
         for number, line in enumerate((text or "").split("\n")):
-            norm = line_words(line)
-            if len(norm.split(" ")) >= 5:
-                lines[doc, number] = (norm, line_hash(norm))
-    places, links = sorted(lines), []
-    for i, a in enumerate(places):
-        for b in places[i + 1 :]:
-            x, y = lines[a], lines[b]
-            if x[0] == y[0]:
-                links.append((a, b))
-            elif (x[1] ^ y[1]).bit_count() <= 3:
-                u, v = x[0].split(" "), y[0].split(" ")
-                longest = max(len(u), len(v))
-                if edit_distance(u, v) <= math.floor(round(0.2 * longest, 6)):
-                    links.append((a, b))
-    return groups(places, links)
+            words = tuple(line_words(line).split())
+            if words:
+                lines[words].append((doc, number))
+    kinds = sorted(lines, key=len)
+    bags = [Counter(k) for k in kinds]
+    links = [(places[0], place) for places in lines.values() for place in places[1:]]
+    for i, a in enumerate(kinds):
+        for j in range(i + 1, len(kinds)):
+            b = kinds[j]
+            most = math.floor(round(0.2 * len(b), 6))
+            if len(b) - len(a) > most:
+                break
+            # Words that one line has and the other lacks need an edit each.
+            if len(b) - (bags[i] & bags[j]).total() <= most and edit_distance(a, b) <= most:
+                links.append((lines[a][0], lines[b][0]))
+    return groups([place for places in lines.values() for place in places], links)
 
 
 def repeated_lines(docs):
-    """{(doc, start, end)} of lines of five words or more that an earlier line equals."""
+    """{(doc, start, end)} of lines with anything but blanks that an earlier line equals."""
     seen, out = set(), set()
     for doc, text in sorted((d, t) for d, t in docs if t):
         start = 0
         for line in text.split("\n"):
-            words = line.lower().split()
-            if len(words) >= 5:
-                key = hashlib.sha256(" ".join(words).encode()).digest()
-                if key in seen:
+            words = tuple(line.lower().split())
+            if words:
+                if words in seen:
                     out.add((doc, start, start + len(line)))
-                seen.add(key)
+                seen.add(words)
             start += len(line) + 1
     return out
 
 
-def trigram_scores(train, texts, least=2, discount=0.75):
+def trigram_scores(train, texts, least=1, discount=0.75):
     """(n_tokens, n_known, base, score) without quantising."""
     def tokens(text):
         return [*blank_words((text or "").translate(LOWER)), None]

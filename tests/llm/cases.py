@@ -12,7 +12,10 @@ DOCUMENTS = (
     .add("source", T.StringType())
     .add("n_chars", T.LongType())
 )
-CLASHING = ("_text", "held", "bits", "key", "n_words", "component", "_row", "line", "chunk")
+CLASHING = (
+    "_text", "held", "bits", "key", "n_words", "component", "_row", "line", "chunk",
+    "_doc", "_spans", "_gone", "_every", "row", "doc", "gone", "every", "version",
+)
 
 LINE = "the quick brown foxes jumped gladly over seven lazy sleeping hounds"
 LONG = " ".join(f"word{i % 5003}x{i % 7}" for i in range(60_000))
@@ -52,6 +55,11 @@ def documents(spark, data):
     return df
 
 
+def others_kept(df):
+    """Whether the clashing columns still hold what they held."""
+    return all(r[name] == "x" for r in df.collect() for name in CLASHING)
+
+
 @pytest.fixture(scope="session")
 def messy(spark):
     """Awkward texts; two rows occur twice, one id has two texts, one id is NULL."""

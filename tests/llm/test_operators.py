@@ -7,7 +7,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
-from cases import LINE, TEXTS, documents, empty, messy, rows  # noqa: F401
+from cases import LINE, TEXTS, documents, empty, messy, others_kept, rows  # noqa: F401
 from pyspark.sql import functions as F
 
 from signalguard.llm import (
@@ -148,7 +148,7 @@ def test_near_duplicates_of_awkward_rows(messy, empty):
     assert blank == {0}
     assert simhash.near_duplicates(empty).count() == 0
     kept = simhash.one_per_group(messy)
-    assert kept.columns == messy.columns
+    assert kept.columns == messy.columns and others_kept(kept)
     assert {r["doc_id"] for r in kept.collect()} == {r["component_id"] for r in found}
     texts = [t for _, t in pairs(messy)]
     assert kept.count() == len({group for _, group in brute.document_groups(texts)})
@@ -453,10 +453,18 @@ def test_fuzzy_lines(spark):
         assert cleaned[i] == left
 
 
+def test_repeats_are_cut_from_awkward_rows(messy, empty):
+    repeats = substring.repeated_units(messy)
+    cleaned = substring.remove_repeats(messy, repeats)
+    assert cleaned.columns == messy.columns and others_kept(cleaned)
+    assert cleaned.count() == messy.count()
+    assert substring.remove_repeats(empty, substring.repeated_units(empty)).count() == 0
+
+
 def test_fuzzy_lines_of_awkward_rows(messy, empty):
     groups = fuzzy_lines.line_groups(messy)
     cleaned = fuzzy_lines.remove_lines(messy, groups)
-    assert cleaned.columns == messy.columns
+    assert cleaned.columns == messy.columns and others_kept(cleaned)
     assert cleaned.count() == messy.count()
     assert fuzzy_lines.line_groups(empty).count() == 0
     assert fuzzy_lines.remove_lines(empty, fuzzy_lines.line_groups(empty)).count() == 0

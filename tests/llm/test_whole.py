@@ -10,24 +10,6 @@ from cases import LINE, documents, rows
 from signalguard.llm import fuzzy_lines, ngram_lm, queries, substring
 
 
-def similar_lines(docs):
-    """{(doc, line): kept (doc, line)} by the edits of words of all pairs of lines."""
-    lines = {}
-    for doc, text in docs:
-        for number, line in enumerate((text or "").split("\n")):
-            words = brute.line_words(line).split()
-            if words:
-                lines[doc, number] = words
-    places, links = sorted(lines), []
-    for i, a in enumerate(places):
-        for b in places[i + 1 :]:
-            x, y = lines[a], lines[b]
-            most = math.floor(round(0.2 * max(len(x), len(y)), 6))
-            if abs(len(x) - len(y)) <= most and brute.edit_distance(x, y) <= most:
-                links.append((a, b))
-    return brute.groups(places, links)
-
-
 def edited_texts():
     """Lines of 4 to 40 words, near copies with up to a quarter of their words edited."""
     rng = random.Random(5)
@@ -59,25 +41,11 @@ def found_lines(groups):
 def test_every_similar_line_is_found(spark):
     texts = edited_texts() + ["a a a a a b\na a a a a c", "", None]
     docs = documents(spark, rows(texts)).repartition(3)
-    wanted = similar_lines(list(enumerate(texts)))
+    wanted = brute.line_groups(list(enumerate(texts)))
     assert len(set(wanted.values())) < len(wanted) / 2
     assert found_lines(fuzzy_lines.line_groups(docs, least_letters=1)) == wanted
 
 
-def repeats_of(docs, breaks="\n"):
-    """{(doc, start, end)} of all units with anything but blanks that an earlier one equals."""
-    seen, out = set(), set()
-    for doc, text in docs:
-        start = 0
-        for unit in (text or "").split(breaks):
-            words = tuple(unit.lower().split())
-            if words and words in seen:
-                out.add((doc, start, start + len(unit)))
-            seen.add(words)
-            start += len(unit) + len(breaks)
-    return out
-
-
 SHORT = ["Home\nmenu |\n" + LINE, "home\n\n漢字仮名交文\nx", "menu |\n漢字仮名交文\n\nX\n---\n---"]
 
 
@@ -92,7 +60,7 @@ def test_short_units_are_repeats(spark, monkeypatch):
     at_documents(spark, rows(SHORT), monkeypatch)
     found = queries.op6_substrings(spark, "").collect()
     got = {(r["doc_id"], s["start"], s["end"]) for r in found for s in r["spans"]}
-    assert got == repeats_of(list(enumerate(SHORT))) and len(got) == 5
+    assert got == brute.repeated_lines(list(enumerate(SHORT))) and len(got) == 5
 
 
 def test_the_floor_counts_characters():
@@ -107,7 +75,7 @@ def test_short_lines_are_judged(spark, monkeypatch):
         (r["doc_id"], r["line"]): (r["keep_doc_id"], r["keep_line"])
         for r in queries.op8_fuzzy_lines(spark, "").collect()
     }
-    assert got == similar_lines(list(enumerate(SHORT)))
+    assert got == brute.line_groups(list(enumerate(SHORT)))
     assert got[1, 0] == (0, 0) and got[2, 1] == (1, 2) and got[2, 3] == (1, 3)
 
 
