@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 import socket
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -21,22 +21,28 @@ Model = Callable[[pd.Series], pd.Series]
 
 
 def lateral_apply(
-    df: DataFrame, row_function: Callable[[pd.DataFrame], pd.DataFrame], added: T.StructType
+    df: DataFrame,
+    row_function: Callable[[pd.DataFrame], pd.DataFrame],
+    added: T.StructType,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Cross-apply: each row gets the columns the function returns for it."""
-    names = df.columns + added.fieldNames()
+    """Cross-apply: each row gets the columns the function returns for it.
+
+    Only ``columns`` (all by default) go to Python; the others stay in the JVM.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             extra = row_function(batch)
             if len(extra) != len(batch):
                 raise ValueError("a lateral function returns one row per input row")
-            joined = pd.concat(
-                [batch.reset_index(drop=True), extra.reset_index(drop=True)], axis=1
-            )
-            yield joined[names]
+            yield extra.reset_index(drop=True)[added.fieldNames()]
 
-    return df.mapInPandas(run, T.StructType(df.schema.fields + added.fields))
+    run.__annotations__ = {"batches": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
+    call = F.pandas_udf(run, added)
+    given = F.struct(*(columns or df.columns))
+    rows = df.select(F.struct(*df.columns).alias("row"), call(given).alias("added"))
+    return rows.select("row.*", "added.*")
 
 
 def ml_predict(

@@ -698,4 +698,17 @@ SELECT CAST(l_suppkey AS VARCHAR) AS l_suppkey, window_start, severity, likely_c
        || 'Dispatch JSON:' || chr(10) || dispatch_json || chr(10) || chr(10)
        || 'API Response:' || chr(10) || api_response AS raw_response
 FROM told""",
+    # A row without a time sorts first; 1900 stands for its place.
+    "band_dirty": f"""WITH {EVENT_SERIES.replace('series AS', 'whole AS')},
+series AS (
+  SELECT user_id, signal, CASE WHEN day(w) = 12 THEN TIMESTAMP '1900-01-01' ELSE w END AS w,
+         CASE WHEN day(w) % 5 <> 0 AND day(w) % 7 <> 0 THEN observed_value END AS observed_value
+  FROM whole
+),
+{_bands('user_id, signal')}
+SELECT user_id, signal,
+       CASE WHEN w > TIMESTAMP '1900-01-01' THEN {_window_time('w', '1 day')} END AS window_time,
+       {r6('forecast_value')} AS forecast_value, {r6('upper_bound')} AS upper_bound,
+       {r6('lower_bound')} AS lower_bound, is_anomaly, training_size
+FROM band""",
 }

@@ -691,6 +691,22 @@ def band_split_max_training(spark, sf):
     return _split_bands(spark, sf, BandConfig(min_training=50, max_training=120))
 
 
+@query
+def band_dirty(spark, sf):
+    """Missing and NaN values train nobody; a row without a time comes before all others."""
+    day = F.dayofmonth("window_start")
+    rows = event_series(spark, sf).withColumns(
+        {
+            "observed_value": F.when(day % 5 == 0, None)
+            .when(day % 7 == 0, float("nan"))
+            .otherwise(F.col("observed_value")),
+            "window_time": F.when(day != 12, F.col("window_time")),
+        }
+    )
+    judged = event_bands(rows)
+    return shown(judged.select("user_id", "signal", "window_time", "r.*"))
+
+
 @query
 def anomaly_records_rows(spark, sf):
     return rounded(anomaly_table(signal_anomalies(lines(spark, sf), LINE_WATCH)))
@@ -757,7 +773,7 @@ def lateral_apply_rows(spark, sf):
         )
 
     df = events(spark, sf).select("event_id", "event_type", "props")
-    return lateral_apply(df, describe, added)
+    return lateral_apply(df, describe, added, columns=["event_type", "props"])
 
 
 @query
