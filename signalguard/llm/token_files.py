@@ -52,10 +52,20 @@ def _parts(run: bytes) -> tuple[bytes, bytes]:
     return core.lower(), run[len(core) :]
 
 
+#: Texts on which a tokenizer shows whether blanks, case and punctuation can be cut apart.
+_PROBES = (
+    b"Hello World, again.",
+    b"Ab  cd\n\tEF!? x.y: 'tis (so) 123,456; THE end...",
+    "Naïve ÉTÉ, über Straße: 漢字 текст".encode(),
+    b" a <b> c<|d|> ",
+)
+
+
 class ChunkEncoder:
     """Ids of texts; each distinct run between ASCII blanks is encoded once while remembered.
 
-    Right for tokenizers that drop white space before anything else looks across it.
+    That is right for tokenizers that lower-case, and drop white space before anything else
+    looks across it.  Probes tell; texts of other tokenizers are encoded whole.
     """
 
     def __init__(self, tokenizer_file: str, most: int = 300_000):
@@ -67,9 +77,19 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         self.most = most
         self.known: dict[bytes, bytes] = {}
+        self.by_runs = self._by_runs(_PROBES) == self._whole(_PROBES)
 
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        return self._by_runs(texts) if self.by_runs else self._whole(texts)
+
+    def _whole(self, texts: Sequence[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(
+            [t.decode("utf-8", "replace") for t in texts], add_special_tokens=False
+        )
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _by_runs(self, texts: Sequence[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         known = self.known
         fresh = [c for c in set().union(*split) if c not in known]
@@ -83,7 +103,6 @@ class ChunkEncoder:
         )
         return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
 
-
     def _encode_runs(self, runs: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """Runs are encoded many at a time, with a special token between them.
 

@@ -597,3 +597,14 @@ def test_every_character_splits_alike():
         if [text[a:b] for a, b in spans] != split(text):
             odd.append(hex(code))
     assert odd == []
+
+
+@pytest.mark.parametrize(("path", "by_runs"), [(WORDS, True), (BYTES, False)])
+def test_ids_are_those_of_any_tokenizer(path, by_runs):
+    encoder = token_files.ChunkEncoder(path)
+    assert encoder.by_runs == by_runs
+    texts = ["Hello World, again.", "", "  Two  blanks.\n", *[t for t in TEXTS if t]]
+    got = encoder.encode([t.encode() for t in texts])
+    for text, ids in zip(texts, got, strict=True):
+        whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == whole
