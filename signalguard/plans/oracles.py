@@ -374,6 +374,7 @@ answers AS (
                  ELSE chr(10) || 'RECOMMENDED_ACTION: call the ' || role END AS response
   FROM conversations
 )"""
+# The patterns of the report's sections.
 REPORTS = """
 shapes AS (
   SELECT *, CASE WHEN turn % 4 = 1 THEN '**' ELSE '' END AS m,
@@ -572,6 +573,7 @@ SELECT l_suppkey, window_start, {_prompt('n/a')} AS prompt FROM risks""",
 SELECT l_suppkey, window_start, {_prompt(None)} AS prompt FROM risks""",
     "ml_predict_rules": f"""WITH {LINE_RISKS}, {RULE_CTES}
 SELECT l_suppkey, window_start, {RULE_ANSWER} AS response FROM diagnosed""",
+    # The patterns of the answer's sections.
     "parse_diagnosis": f"""WITH {ANSWERS}
 SELECT conv_id, turn,
        trim(nullif(regexp_extract(response, '(?i)SEVERITY:\\s*(CRITICAL|HIGH|MEDIUM|LOW)', 1), ''))
