@@ -9,6 +9,7 @@ takes the table and the id frame and then unpacks only the frames asked for.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -35,21 +36,29 @@ _NO_ID = -(2**63)  # stands for NULL in the id frame; sorts first
 _FILE_BYTES = 256 << 20  # plain bytes after which a task starts a new file
 
 
-_TAIL = b".,!?;:"
+#: ASCII punctuation, but for what special tokens start with.
+_TAIL = b"!\"#$%&'()*+,-./:;=>?@[\\]^_`{|}~"
+#: The same without the apostrophe, which a letter after it may turn into a contraction.
+_HEAD = _TAIL.replace(b"'", b"")
 
 
-def _parts(run: bytes) -> tuple[bytes, bytes]:
-    """A run as a word and the punctuation after it, which the tokenizer encodes apart.
+def _parts(run: bytes) -> tuple[bytes, bytes, bytes]:
+    """A run as punctuation, a word, and punctuation, which the tokenizer encodes apart.
 
-    Only where that is certain: ASCII with a letter or digit before the punctuation.  Such a
-    word is lower-cased, as the tokenizer does.
+    Only where that is certain: an ASCII letter or digit stands at either end of the word.
+    An ASCII word is lower-cased, as the tokenizer does.
     """
-    if not run.isascii() or b"<" in run:
-        return run, b""
+    if run.isalnum():
+        return b"", run.lower(), b""
+    if b"<" in run:
+        return b"", run, b""
     core = run.rstrip(_TAIL)
     if not core[-1:].isalnum():
-        return run, b""
-    return core.lower(), run[len(core) :]
+        return b"", run, b""
+    tail, bare = run[len(core) :], core.lstrip(_HEAD)
+    if not bare[:1].isalnum():
+        bare = core
+    return core[: len(core) - len(bare)], bare.lower() if bare.isascii() else bare, tail
 
 
 #: Texts on which a tokenizer shows whether blanks, case and punctuation can be cut apart.
@@ -58,8 +67,17 @@ _PROBES = (
     b"Ab  cd\n\tEF!? x.y: 'tis (so) 123,456; THE end...",
     "Naïve ÉTÉ, über Straße: 漢字 текст".encode(),
     b" a <b> c<|d|> ",
+    b"(Word) 'tis dogs', !'s **Bold**%%% it's; x-y_z [9]. 'LL we'll -- ~a~ ''b'' c\x01 d",
+    "ÜBER Straße ñandú, ÇA Øre þ ÿ æ ×x÷y µm ªº".encode(),
+    "(été) «été» eté, façade... e\u0301t, a\u0301.".encode(),
 )
 
+#: Letters that no normal form changes and whose small forms are one letter each.
+_LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+#: Stands between blanks for the end of a run, where many are encoded as one text.
+_MARK = b"\x01"
+
 
 class ChunkEncoder:
     """Ids of texts; each distinct run between ASCII blanks is encoded once while remembered.
@@ -68,7 +86,7 @@ class ChunkEncoder:
     looks across it.  Probes tell; texts of other tokenizers are encoded whole.
     """
 
-    def __init__(self, tokenizer_file: str, most: int = 300_000):
+    def __init__(self, tokenizer_file: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -76,9 +94,26 @@ class ChunkEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.most = most
+        # Two generations: of what was remembered only what is met again stays for longer.
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        mark = self._whole([b" " + _MARK + b" "])[0]
+        self.mark = int.from_bytes(mark, "little") if len(mark) == 4 else None
+        self.letters = self._letters()
+        self.raw = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
         self.by_runs = self._by_runs(_PROBES) == self._whole(_PROBES)
 
+    def _letters(self) -> dict[int, str] | None:
+        """What the tokenizer's model reads for each small Latin letter."""
+        split = self.tokenizer.pre_tokenizer
+        small = [chr(c) for c in range(0x100) if _LATIN.fullmatch(chr(c)) and chr(c).islower()]
+        if split is None:
+            return None
+        found = {ord(c): split.pre_tokenize_str(c) for c in small}
+        if any(len(pieces) != 1 for pieces in found.values()):
+            return None
+        return {c: pieces[0][0] for c, pieces in found.items()}
+
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         return self._by_runs(texts) if self.by_runs else self._whole(texts)
@@ -91,39 +126,61 @@ class ChunkEncoder:
 
     def _by_runs(self, texts: Sequence[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
+        self._learn(set().union(*split))
         known = self.known
-        fresh = [c for c in set().union(*split) if c not in known]
-        if len(known) + len(fresh) > self.most:
-            known.clear()
-            fresh = list(set().union(*split))
-        parts = [_parts(c) for c in fresh]
-        found = dict(self._encode_runs(list({p for pair in parts for p in pair})))
+        return [b"".join(map(known.__getitem__, runs)) for runs in split]
+
+    def _learn(self, runs: set[bytes]) -> None:
+        """See that all these runs are known."""
+        if len(self.known) > self.most // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        runs.difference_update(known)
+        again = runs.intersection(older)
+        known.update((r, older[r]) for r in again)
+        runs -= again
+        parts = [_parts(r) for r in runs]
+        wanted = {p for triple in parts for p in triple}
+        wanted.difference_update(known)
+        again = wanted.intersection(older)
+        known.update((w, older[w]) for w in again)
+        known.update(self._encode_runs(list(wanted - again)))
         known.update(
-            (c, found[core] + found[tail]) for c, (core, tail) in zip(fresh, parts, strict=True)
+            (r, known[head] + known[core] + known[tail])
+            for r, (head, core, tail) in zip(runs, parts, strict=True)
         )
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
 
     def _encode_runs(self, runs: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Runs are encoded many at a time, with a special token between them.
+        """A word of Latin letters goes straight to the tokenizer's model, which need not split it.
 
-        The tokenizer cuts a text at special tokens before it does anything else, so a run
-        between two of them is encoded as if it stood alone.
+        Other runs are encoded many at a time, with a control character between blanks after
+        each.  Only that character, alone, has its id, so the id ends a run; runs that contain
+        the character, or may contain a special token, are encoded alone.
         """
-        mark = next(iter(self.tokenizer.get_added_tokens_decoder().items()), None)
-        if mark is None:
-            marked, alone = [], runs
-        else:
-            number, text = mark[0], mark[1].content
-            marked = [r for r in runs if b"<|" not in r and text.encode() not in r]
-            alone = [r for r in runs if b"<|" in r or text.encode() in r]
+        if self.letters is not None:
+            model, raw, letters, others = self.tokenizer.model.tokenize, self.raw, self.letters, []
+            for run in runs:
+                word = run.decode("utf-8", "replace")
+                if _LATIN.fullmatch(word):
+                    word = word if run.isalpha() else word.lower().translate(letters)
+                    yield run, b"".join([raw[t.id] for t in model(word)])
+                else:
+                    others.append(run)
+            runs = others
+        marked: list[bytes] = []
+        alone = runs
+        if self.mark is not None:
+            alone = [r for r in runs if _MARK in r or b"<" in r]
+            marked = [r for r in runs if _MARK not in r and b"<" not in r]
+        between = b" " + _MARK + b" "
         for b in range(0, len(marked), 2000):
             part = marked[b : b + 2000]
-            joined = text.join(r.decode("utf-8", "replace") for r in part) + text
+            joined = (between.join(part) + between).decode("utf-8", "replace")
             found = self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0]
             ids = np.array(found.ids, dtype="<u4")
-            raw, start = ids.tobytes(), 0
-            for run, end in zip(part, np.flatnonzero(ids == number).tolist(), strict=True):
-                yield run, raw[4 * start : 4 * end]
+            data, start = ids.tobytes(), 0
+            for run, end in zip(part, np.flatnonzero(ids == self.mark).tolist(), strict=True):
+                yield run, data[4 * start : 4 * end]
                 start = end + 1
         texts = [r.decode("utf-8", "replace") for r in alone]
         for run, e in zip(
