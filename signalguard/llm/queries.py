@@ -90,9 +90,13 @@ def op5_language(spark, sf):
 
 @query
 def op6_substrings(spark, sf):
-    """Repeated lines and where their kept occurrence is."""
+    """Repeated lines and where their kept occurrence is; passages that documents share."""
     docs = table(spark, sf, "documents")
-    return substring.removed_spans(docs, substring.repeated_units(docs, least_letters=1))
+    return substring.removed_spans(
+        docs,
+        substring.repeated_units(docs, least_letters=1),
+        passages=substring.shared_passages(docs),
+    )
 
 
 @query

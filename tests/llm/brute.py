@@ -169,6 +169,37 @@ def repeated_lines(docs):
     return out
 
 
+def shared_passages(docs, least_words=30, least_letters=300):
+    """{(doc, start, end, words, first doc)} of neighbouring sentences that other texts have too."""
+    units, owners = {}, defaultdict(set)
+    for doc, text in dict.fromkeys((d, t) for d, t in docs if t):
+        found, start = [], 0
+        for i, c in enumerate(text + "\n"):
+            blank = i + 1 < len(text) and text[i + 1].isspace() and text[i + 1] != "\n"
+            if c == "\n" or c in "。！？" or (c in ".!?…" and blank):
+                end = i if c == "\n" else i + 1
+                words = tuple(text[start:end].lower().split())
+                if words:
+                    lead = len(text[start:end]) - len(text[start:end].lstrip()) if found else 0
+                    found.append((start + lead, end, words))
+                    owners[words].add((doc, text))
+                start = i + 1
+        units[doc, text] = found
+    out = set()
+    for (doc, text), found in units.items():
+        row = []
+        for unit in [*found, None]:
+            if unit and len(owners[unit[2]]) > 1:
+                row.append(unit)
+                continue
+            n, letters = sum(len(u[2]) for u in row), sum(len(w) for u in row for w in u[2])
+            if n >= least_words or (row and letters >= least_letters):
+                first = min(owners[row[0][2]])[0]
+                out.add((doc, row[0][0], row[-1][1], n, first))
+            row = []
+    return out
+
+
 def trigram_scores(train, texts, least=1, discount=0.75):
     """(n_tokens, n_known, base, score) without quantising."""
     def tokens(text):

@@ -66,6 +66,14 @@ def test_substrings(spark):
     assert spans == brute.repeated_lines(list(zip(DOCS["doc_id"], DOCS["text"], strict=True)))
 
 
+def test_passages(spark):
+    got = result(spark, "op6_substrings")
+    spans = {
+        (i, *p) for i, row in zip(got["doc_id"], got["passages"], strict=True) for p in map(tuple, row)
+    }
+    assert spans == brute.shared_passages(list(zip(DOCS["doc_id"], DOCS["text"], strict=True)))
+
+
 def test_token_files(spark):
     import public_tokenizers
     from tokenizers import Tokenizer

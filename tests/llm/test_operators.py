@@ -340,6 +340,37 @@ def test_repeated_lines(spark, messy, empty):
     assert substring.removed_spans(empty, substring.repeated_units(empty)).count() == 0
 
 
+def test_shared_passages(spark, messy, empty):
+    first = " ".join(f"word{i}" for i in range(18)) + "."
+    second = "Is " + " ".join(f"it{i}" for i in range(14)) + " so?"
+    third = "漢" * 310 + "。"
+    texts = [
+        f"own start. {first} {second} own end of this text.",
+        f"{first.upper()}\n\n{second}",
+        f"{first} between. {second}",  # each shared, but apart and too short
+        f"menu.\n{third}x",
+        f"menu.\nother. y\n{third}",
+        "twice. " * 40,
+        "own. own. " * 40,
+        f"{first} {second}",
+        None,
+        "",
+        " \n ",
+    ]
+    docs = documents(spark, rows(texts)).unionByName(documents(spark, rows(texts[:1])))
+    found = substring.shared_passages(docs)
+    got = [tuple(r) for r in found.drop("version").collect()]
+    assert len(got) == len(set(got)) and set(got) == brute.shared_passages(list(enumerate(texts)))
+    assert {r[0] for r in got} == {0, 1, 3, 4, 7}
+    spans = substring.removed_spans(docs, substring.repeated_units(docs), passages=found)
+    assert spans.count() == docs.count()
+    assert {r["doc_id"]: r["n_passages"] for r in spans.collect()}[1] == 1
+    twins = documents(spark, rows([texts[7]])).unionByName(documents(spark, rows([texts[7]])))
+    assert substring.shared_passages(twins).count() == 0  # equal rows are one document
+    substring.shared_passages(messy).collect()
+    assert substring.shared_passages(empty).count() == 0
+
+
 def test_paragraphs():
     text = "one two three\nfour five\n \nsix seven eight nine ten\n\n\nend"
     found = [(a, b) for _, a, b, _ in substring.units_of(text, "paragraph", 5)]
