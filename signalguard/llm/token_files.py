@@ -86,7 +86,7 @@ class ChunkEncoder:
     looks across it.  Probes tell; texts of other tokenizers are encoded whole.
     """
 
-    def __init__(self, tokenizer_file: str, most: int = 1_000_000):
+    def __init__(self, tokenizer_file: str, most: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -313,17 +313,21 @@ def write_token_files(
     doc_id: str = "doc_id",
     text: str = "text",
     folder: str | None = None,
+    task_bytes: int = 32 << 20,
 ) -> TokenFiles:
     """Encode every text, with ``end_id`` after it, in ascending id order.
 
     NULL and empty texts are just the end.  Ids are whole numbers; NULL ids come first and
-    equal ids stand together, in the order of their texts' hashes.  Ranges of ids go to
-    tasks, each of which writes its own files into the shared folder.
+    equal ids stand together, in the order of their texts' hashes.  Ranges of ids, of about
+    ``task_bytes`` of text each, go to tasks, each of which writes its own files into the
+    shared folder; a task encodes what it meets again only once, so small ranges cost more.
     """
     folder = folder or shared_dir(docs.sparkSession, "token_files")
     rows = docs.select(F.col(doc_id).cast("bigint").alias("_id"), utf8(text).alias("_text"))
     rows = rows.withColumn("_tie", F.xxhash64("_text"))
-    ordered = rows.repartitionByRange("_id", "_tie").sortWithinPartitions("_id", "_tie")
+    size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    tasks = size // task_bytes + 1
+    ordered = rows.repartitionByRange(tasks, "_id", "_tie").sortWithinPartitions("_id", "_tie")
     wrote = ordered.select("_id", "_text").mapInArrow(
         _writer(folder, tokenizer_file, end_id),
         "part bigint, number bigint, file string, docs bigint, tokens bigint",
