@@ -46,6 +46,41 @@ def test_every_similar_line_is_found(spark):
     assert found_lines(fuzzy_lines.line_groups(docs, least_letters=1)) == wanted
 
 
+def test_long_similar_lines_are_found(spark):
+    """Of long lines some blocks are looked at: at least 0.9 of all similar pairs hang together."""
+    rng = random.Random(21)
+    words = [f"{rng.choice('klmnop')}{i}" for i in range(400)]
+    texts = []
+    for size in (30, 60, 120, 240):
+        for _ in range(8):
+            base = rng.choices(words, k=size)
+            near = list(base)
+            for at in rng.sample(range(size), rng.randrange(1, size // 5)):
+                near[at] = rng.choice(words)
+            texts += [" ".join(base), " ".join(near)]
+    rng.shuffle(texts)
+    wanted = brute.line_groups(list(enumerate(texts)))
+    got = found_lines(fuzzy_lines.line_groups(documents(spark, rows(texts)).repartition(3)))
+    linked = [place for place, keep in wanted.items() if place != keep]
+    assert len(linked) == 32
+    assert sum(got[place] == wanted[place] for place in linked) >= 0.9 * len(linked)
+    assert all(got[place] in (place, wanted[place]) for place in got)
+
+
+def test_crowded_keys_are_split(spark, monkeypatch):
+    """One block in many lines of several groups: lines without an edit between them still meet."""
+    monkeypatch.setattr(fuzzy_lines, "_CROWD", 2)
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(500)]
+    shared = "one very common passage"
+    texts = []
+    for _ in range(12):
+        base = rng.choices(words, k=10)
+        texts += [" ".join([shared, *base]), " ".join([shared, *base[:-1], "edited"])]
+    docs = documents(spark, rows(texts)).repartition(3)
+    assert found_lines(fuzzy_lines.line_groups(docs)) == brute.line_groups(list(enumerate(texts)))
+
+
 SHORT = ["Home\nmenu |\n" + LINE, "home\n\n漢字仮名交文\nx", "menu |\n漢字仮名交文\n\nX\n---\n---"]
 
 
