@@ -143,3 +143,18 @@ def test_followers_over_many_files(spark, monkeypatch, entries):
     wanted = brute.trigram_scores(texts, texts, least=1)
     for r, (n, _, _, score) in zip(got, wanted, strict=True):
         assert abs(r["score"] - score) <= n * model.step
+
+
+def test_no_key_is_too_crowded_for_a_similar_pair(spark):
+    """Links do not depend on how many other lines have a key: edits all over, in a large key."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(900)]
+    shared = "one very common passage"
+    texts = []
+    for _ in range(60):
+        base = rng.choices(words, k=6)
+        near = list(base)
+        near[0], near[3] = rng.choices(words, k=2)  # only the passage is left whole
+        texts += [" ".join([shared, *base]), " ".join([shared, *near])]
+    docs = documents(spark, rows(texts)).repartition(3)
+    assert found_lines(fuzzy_lines.line_groups(docs)) == brute.line_groups(list(enumerate(texts)))
