@@ -29,7 +29,7 @@ from signalguard.functions.moments import (
     state_columns,
 )
 from signalguard.functions.scalar import direction_label, hours_since, round_half_up
-from signalguard.session import shared_dir
+from signalguard.session import dealt, shared_dir
 from signalguard.sources.tables import create_table_as
 
 MODELS = ("mean", "trend", "ar1")
@@ -234,7 +234,9 @@ def _state(df: DataFrame, slot: _Slot, config: BandConfig) -> Moments:
 def _one_partition_per_key(
     df: DataFrame, keys: list[str], ts: str, slots: list[_Slot], config: BandConfig
 ) -> DataFrame:
-    """All windows hash on the keys, so one exchange serves them all."""
+    """All windows hash on the keys, so one exchange serves them all; it makes small tasks."""
+    if keys:
+        df = dealt(df, *keys)
     whole = Window.partitionBy(*keys).orderBy(ts)
     if config.model == "ar1":
         df = df.withColumns({s.x: F.lag(s.y).over(whole) for s in slots})

@@ -77,3 +77,12 @@ def test_chunks_bound_what_a_task_holds(hot):
     )
     rows_side = [line for line in plan.splitlines() if "Window [" in line and "_sum0" not in line]
     assert rows_side and all("_chunk" in line for line in rows_side)
+
+
+def test_bands_are_judged_in_small_tasks(spark, hot):
+    """However few partitions a shuffle makes, a task sorts few entities' rows."""
+    wide = average_signals(hot, "t", "1 minute", "k", ["a", "b"])
+    judged = detect_signals(wide, ["k"], "window_time", ["a", "b"], BandConfig(min_training=20))
+    cores = spark.sparkContext.defaultParallelism
+    assert re.search(rf"Exchange hashpartitioning\(k#\d+L?, {8 * cores}\)", plan_of(judged))
+    assert plan_of(judged).count("Exchange") == 2
