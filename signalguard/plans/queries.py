@@ -72,7 +72,7 @@ from signalguard.plans.stages import (
     windowed_signals,
 )
 from signalguard.schemas import schema_of
-from signalguard.session import dealt, shared_dir
+from signalguard.session import UNHELD_PARTS, dealt, shared_dir
 from signalguard.sources.tables import (
     EndOfInput,
     all_set,
@@ -155,7 +155,7 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def dealt_lines(spark: SparkSession, sf: str) -> DataFrame:
     """For windows: combining the lines of a whole split takes several times its size."""
-    return dealt(lines(spark, sf), "l_suppkey", "l_shipdate")
+    return dealt(lines(spark, sf), "l_suppkey", "l_shipdate", most=UNHELD_PARTS)
 
 
 def conversations(spark: SparkSession, sf: str) -> DataFrame:
