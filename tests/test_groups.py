@@ -119,3 +119,15 @@ def test_a_group_has_one_timer_and_keeps_no_state_that_is_due():
     assert {key[0] for key in handle.maps["points"]} <= {"u0", "u1", "u2"}
     list(processor.handleInputRows((1,), iter([rows(50, 2, start=90)]), Clock(999 * minute)))
     assert not any(handle.maps.values()) and len(handle.timers) == 2
+
+
+def test_rows_without_a_key_share_a_history():
+    """NULL is no number: a frame's keys would come as NaN, which equals nothing."""
+    frame = rows(2, 6)
+    other = frame["k"] == "u1"
+    numbers = frame.assign(k=np.where(other, np.nan, 7.0), key0=frame["key0"].where(~other, None))
+    processor, handle = group()
+    got = pd.concat(processor.handleInputRows((1,), iter([numbers]), Clock(0)))
+    for part in (got[got["k"].isna()], got[got["k"] == 7.0]):
+        assert sorted(part["training_size"]) == list(range(6))
+    assert set(handle.maps["head"]) == {("u0",), (None,)}
