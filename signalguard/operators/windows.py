@@ -7,17 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from signalguard.session import UNHELD_PARTS, dealt
+
 
 def tumble(
-    df: DataFrame, ts: str, width: str, keys: Sequence[str], aggregates: Sequence[Column]
+    df: DataFrame,
+    ts: str,
+    width: str,
+    keys: Sequence[str],
+    aggregates: Sequence[Column],
+    sparse: bool = False,
 ) -> DataFrame:
     """Aggregate per key and epoch-aligned window ``[start, end)``.
 
     Rows are combined before the shuffle, so a hot key costs one partial row per
     window and task.  ``window_time`` is the last instant of the window and keeps the
     watermark of a stream; use ``public_window_time`` on it after the last window.
+
+    ``sparse`` tables have about a row to a window, so combining saves nothing, and the
+    session's number of shuffle partitions would bound how small a part of the windows a task
+    holds.  Their rows are dealt out by key and window instead, to tasks whose number grows
+    with the input, and combined there.
     """
-    grouped = df.groupBy(F.window(F.col(ts), width).alias("window"), *keys).agg(*aggregates)
+    window = F.window(F.col(ts), width)
+    if sparse:
+        df = dealt(df.withColumn("_window", window), *keys, "_window", most=UNHELD_PARTS)
+        window = F.col("_window")
+    grouped = df.groupBy(window.alias("window"), *keys).agg(*aggregates)
     return grouped.select(
         *keys,
         F.col("window.start").alias("window_start"),
@@ -28,15 +44,26 @@ def tumble(
 
 
 def average_signals(
-    df: DataFrame, ts: str, width: str, entity: str, signals: Sequence[str]
+    df: DataFrame,
+    ts: str,
+    width: str,
+    entity: str,
+    signals: Sequence[str],
+    sparse: bool = False,
 ) -> DataFrame:
     """One row per entity and window with the mean of every signal; NaN is no reading."""
     read = lambda s: F.nanvl(F.col(s).cast("double"), F.lit(None).cast("double"))
-    return tumble(df, ts, width, [entity], [F.avg(read(s)).alias(s) for s in signals])
+    return tumble(df, ts, width, [entity], [F.avg(read(s)).alias(s) for s in signals], sparse)
 
 
 def window_profile(
-    df: DataFrame, ts: str, width: str, entity: str, value: str, others: Sequence[str] = ()
+    df: DataFrame,
+    ts: str,
+    width: str,
+    entity: str,
+    value: str,
+    others: Sequence[str] = (),
+    sparse: bool = False,
 ) -> DataFrame:
     """Mean and maximum of one signal, means of others, and the reading count."""
     return tumble(
@@ -50,6 +77,7 @@ def window_profile(
             *[F.avg(o).alias(f"avg_{o}") for o in others],
             F.count(F.lit(1)).alias("reading_count"),
         ],
+        sparse,
     )
 
 

@@ -72,7 +72,7 @@ from signalguard.plans.stages import (
     windowed_signals,
 )
 from signalguard.schemas import schema_of
-from signalguard.session import UNHELD_PARTS, dealt, shared_dir
+from signalguard.session import shared_dir
 from signalguard.sources.tables import (
     EndOfInput,
     all_set,
@@ -133,6 +133,7 @@ LINE_WATCH = Watch(
     width="1 day",
     band=LINE_BAND,
     rollup="30 days",
+    sparse=True,
 )
 
 
@@ -153,11 +154,6 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
     return scan(spark, f"{sf}/lineitem.parquet", LINEITEM)
 
 
-def dealt_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """For windows: combining the lines of a whole split takes several times its size."""
-    return dealt(lines(spark, sf), "l_suppkey", "l_shipdate", most=UNHELD_PARTS)
-
-
 def conversations(spark: SparkSession, sf: str) -> DataFrame:
     return scan(spark, f"{sf}/conversations.parquet", CONVERSATIONS)
 
@@ -186,11 +182,11 @@ def event_anomalies(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def line_series(spark: SparkSession, sf: str) -> DataFrame:
-    return signal_series(dealt_lines(spark, sf), LINE_WATCH)
+    return signal_series(lines(spark, sf), LINE_WATCH)
 
 
 def line_risks(spark: SparkSession, sf: str) -> DataFrame:
-    return at_risk(signal_anomalies(dealt_lines(spark, sf), LINE_WATCH), LINE_WATCH)
+    return at_risk(signal_anomalies(lines(spark, sf), LINE_WATCH), LINE_WATCH)
 
 
 def stored_risks(spark: SparkSession, sf: str) -> DataFrame:
@@ -279,7 +275,7 @@ def not_null_report(spark, sf):
 def _high_price(spark, sf) -> DataFrame:
     """The single-signal job: prices above their band."""
     wide = average_signals(
-        dealt_lines(spark, sf), "l_shipdate", "1 day", "l_suppkey", ["l_extendedprice"]
+        lines(spark, sf), "l_shipdate", "1 day", "l_suppkey", ["l_extendedprice"], sparse=True
     )
     judged = detect_anomalies(
         wide, ["l_suppkey"], "window_time", "l_extendedprice", LINE_BAND
@@ -351,7 +347,7 @@ def explode_json_list_rows(spark, sf):
 def stage_tables(spark, sf):
     """Each stage reads the table the stage before it wrote."""
     anomalies = create_table_as(
-        anomaly_table(signal_anomalies(dealt_lines(spark, sf), LINE_WATCH)),
+        anomaly_table(signal_anomalies(lines(spark, sf), LINE_WATCH)),
         shared_dir(spark, "anomalies"),
     )
     risks = create_table_as(at_risk(anomalies, LINE_WATCH), shared_dir(spark, "at_risk"))
@@ -537,7 +533,9 @@ def window_columns(spark, sf):
 
 @query
 def avg_signals(spark, sf):
-    wide = average_signals(dealt_lines(spark, sf), "l_shipdate", "1 day", "l_suppkey", LINE_SIGNALS)
+    wide = average_signals(
+        lines(spark, sf), "l_shipdate", "1 day", "l_suppkey", LINE_SIGNALS, sparse=True
+    )
     return shown(wide)
 
 
@@ -585,12 +583,13 @@ def escalate_multi_signal(spark, sf):
 def window_profile_rows(spark, sf):
     return shown(
         window_profile(
-            dealt_lines(spark, sf),
+            lines(spark, sf),
             "l_shipdate",
             "1 day",
             "l_suppkey",
             "l_extendedprice",
             ["l_quantity"],
+            sparse=True,
         )
     )
 
@@ -719,7 +718,7 @@ def band_dirty(spark, sf):
 
 @query
 def anomaly_records_rows(spark, sf):
-    return rounded(anomaly_table(signal_anomalies(dealt_lines(spark, sf), LINE_WATCH)))
+    return rounded(anomaly_table(signal_anomalies(lines(spark, sf), LINE_WATCH)))
 
 
 @query

@@ -34,7 +34,10 @@ from signalguard.streaming.band import stream_band
 
 @dataclass(frozen=True)
 class Watch:
-    """What is watched and how; the defaults are those of a truck fleet."""
+    """What is watched and how; the defaults are those of a truck fleet.
+
+    ``sparse`` is explained at ``tumble``; streams, whose state has its own tasks, ignore it.
+    """
 
     entity: str = "truck_id"
     ts: str = "reading_ts"
@@ -46,6 +49,7 @@ class Watch:
     min_signals: int = 2
     null_text: str | None = NOT_AVAILABLE
     history_span: str | None = None
+    sparse: bool = False
 
     @property
     def signals(self) -> list[str]:
@@ -54,7 +58,8 @@ class Watch:
 
 def windowed_signals(telemetry: DataFrame, watch: Watch) -> DataFrame:
     """Readings to one wide row per entity and window."""
-    return average_signals(telemetry, watch.ts, watch.width, watch.entity, watch.signals)
+    sparse = watch.sparse and not telemetry.isStreaming
+    return average_signals(telemetry, watch.ts, watch.width, watch.entity, watch.signals, sparse)
 
 
 def signal_series(telemetry: DataFrame, watch: Watch) -> DataFrame:

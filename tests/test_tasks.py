@@ -2,6 +2,7 @@
 
 import re
 
+from signalguard.operators.windows import average_signals
 from signalguard.session import dealt
 from signalguard.streaming.run import stream_session
 
@@ -28,3 +29,17 @@ def test_streams_have_several_state_partitions_to_a_core(spark):
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
     with stream_session(spark, 3):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+
+
+def test_windows_of_sparse_tables_are_combined_in_dealt_tasks(spark):
+    """Not in as many as the session has shuffle partitions, however many windows there are."""
+    least = 8 * spark.sparkContext.defaultParallelism
+    rows = spark.range(1000).selectExpr(
+        "nullif(id % 7, 3) k", "timestamp_ntz'2024-01-01' + make_dt_interval(0, id % 50) t", "id v"
+    )
+    rows = rows.union(rows.selectExpr("k", "cast(null as timestamp_ntz)", "v"))
+    sparse = average_signals(rows, "t", "2 hours", "k", ["v"], sparse=True)
+    plan = sparse._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"hashpartitioning\([^()]*, (\d+)\)", plan) == [str(least)]
+    found = sorted(map(str, sparse.collect()))
+    assert found == sorted(map(str, average_signals(rows, "t", "2 hours", "k", ["v"]).collect()))
