@@ -12,7 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalguard.functions.scalar import json_text
-from signalguard.operators.enrich import AgentSpec, Observation, ToolCall, input_fields
+from signalguard.operators.enrich import (
+    AgentSpec,
+    Observation,
+    ToolCall,
+    immediate,
+    input_fields,
+)
 
 
 @dataclass(frozen=True)
@@ -211,7 +217,8 @@ def _order(fields: dict[str, str], shops: Observation) -> tuple[SeverityRule | N
     severity = fields.get("severity", "").upper()
     rule = next((r for r in SEVERITY_RULES if r.severity == severity), None)
     cause = fields.get("likely_cause", "")
-    known = [word for word in PARTS_BY_CAUSE if _plain(word) in _plain(cause)]
+    plain = _plain(cause)
+    known = [word for word in PARTS_BY_CAUSE if _plain(word) in plain]
     best = _choose(rule, known, offers_of(shops) or []) if rule else {}
     miles = _distance(best) if best else math.inf
     return rule, {
@@ -259,6 +266,7 @@ def dispatch_agent(
     return AgentSpec(name="dispatcher", step=dispatch_step, tools=tools)
 
 
+@immediate
 def no_endpoint(arguments: dict, key: str, timeout: float) -> str:
     """A tool whose endpoint nobody listens at."""
     raise ConnectionRefusedError("no endpoint is configured")

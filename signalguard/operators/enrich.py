@@ -146,6 +146,12 @@ class Observation:
     timed_out: bool = False
 
 
+def immediate(tool: Callable[[dict, str, float], str]) -> Callable[[dict, str, float], str]:
+    """Marks a tool that never waits: it is called without a thread, which costs much more."""
+    tool.immediate = True
+    return tool
+
+
 class ToolThreads:
     """At most ``size`` tool calls at a time; a call that hangs is left to its thread.
 
@@ -208,9 +214,12 @@ class AgentSpec:
         tool = self.tools.get(call.name)
         if tool is None:
             return Observation(call, False, f"tool {call.name} is not allowed")
-        own = threads or ToolThreads()
+        at_once = getattr(tool, "immediate", False)
+        own = None if at_once else threads or ToolThreads()
         try:
             limit = self.request_timeout
+            if own is None:
+                return Observation(call, True, tool(call.arguments, key, limit))
             return Observation(
                 call, True, own.call(tool, call.arguments, key, limit, timeout=limit)
             )
@@ -218,7 +227,7 @@ class AgentSpec:
             text, late = f"{type(error).__name__}: {error}", isinstance(error, TimeoutError)
             return Observation(call, False, text, not _no_reply(error), late)
         finally:
-            if threads is None:
+            if own is not None and threads is None:
                 own.close()
 
     def run(
@@ -251,7 +260,7 @@ def run_agent(
     """Run the agent on each row; a row without input gets a NULL answer.
 
     ``concurrency`` rows of a task are in flight together, which pays when tools wait
-    on a network.  ``replies`` names tools whose reply is a column of the row, found by a
+    on a network; mark tools that do not as ``immediate``.  ``replies`` names tools whose reply is a column of the row, found by a
     join before: such a tool answers from tables and calls nobody; a NULL is no reply.
     """
     known_replies = dict(replies or {})
@@ -267,7 +276,8 @@ def run_agent(
         with ThreadPoolExecutor(max_workers=concurrency) as pool:
             for texts, keys, *known in batches:
                 columns = [_nullable(c) for c in (texts, keys, *known)]
-                answers = pool.map(
+                each = map if concurrency == 1 else pool.map
+                answers = each(
                     lambda row: one(row[0], row[1], threads, *row[2:]),
                     zip(*columns, strict=True),
                 )

@@ -1072,7 +1072,7 @@ def _day_series(readings: DataFrame) -> DataFrame:
 @query
 def stream_tumble(spark, sf):
     """Windows of a stream, each emitted once; the end of the input closes the last."""
-    with stream_session(spark):
+    with stream_session(spark, replay=events(spark, sf)):
         end = _event_end(spark)
         windows = tumble(
             _event_stream(spark, sf, end),
@@ -1086,7 +1086,7 @@ def stream_tumble(spark, sf):
 
 @query
 def stream_band_rows(spark, sf):
-    with stream_session(spark):
+    with stream_session(spark, replay=events(spark, sf)):
         end = _event_end(spark)
         judged = stream_band(
             _day_series(_event_stream(spark, sf, end)),
@@ -1101,7 +1101,7 @@ def stream_band_rows(spark, sf):
 @query
 def stream_escalate(spark, sf):
     """One chained job from wide telemetry to escalated entities."""
-    with stream_session(spark):
+    with stream_session(spark, replay=lines(spark, sf)):
         end = _line_end(spark)
         anomalies = signal_anomalies(_line_stream(spark, sf, end), LINE_WATCH)
         return _stored(spark, rounded(at_risk(anomalies, LINE_WATCH)), "stream_escalate", end)
@@ -1110,7 +1110,7 @@ def stream_escalate(spark, sf):
 @query
 def stream_diagnose(spark, sf):
     """The same job with the diagnosis behind it."""
-    with stream_session(spark):
+    with stream_session(spark, replay=lines(spark, sf)):
         end = _line_end(spark)
         anomalies = signal_anomalies(_line_stream(spark, sf, end), LINE_WATCH)
         diagnosed = diagnose(at_risk(anomalies, LINE_WATCH), LINE_WATCH)
@@ -1125,7 +1125,7 @@ def stream_actions(spark, sf):
         (shared_dir(spark, "stream_diagnosed"), lambda risks: diagnose(risks, LINE_WATCH)),
         (done, lambda diagnosed: act(diagnosed, LINE_WATCH)),
     ]
-    with stream_session(spark):
+    with stream_session(spark, replay=lines(spark, sf)):
         end = _line_end(spark)
         risks = at_risk(signal_anomalies(_line_stream(spark, sf, end), LINE_WATCH), LINE_WATCH)
         checkpoint = shared_dir(spark, "stream_actions-checkpoint")
@@ -1143,7 +1143,7 @@ EVENT_KEYS = ["user_id", "signal"]
 
 def seeded_band(spark: SparkSession, sf: str, cut: str, config: BandConfig) -> DataFrame:
     """Bands of the history by the batch operator, and of the rest by a stream it seeds."""
-    with stream_session(spark):
+    with stream_session(spark, replay=events(spark, sf)):
         end = _event_end(spark)
         readings = events(spark, sf).withColumnRenamed("event_type", "signal")
         past = _day_series(readings.where(F.col("ts") < F.lit(cut).cast("timestamp_ntz")))
@@ -1165,7 +1165,7 @@ def stream_band_seeded(spark, sf):
 @query
 def stream_band_retired(spark, sf):
     """A series forgets its history after a long silence, and its state goes."""
-    with stream_session(spark):
+    with stream_session(spark, replay=events(spark, sf)):
         end = _event_end(spark)
         judged = stream_band(
             _day_series(_event_stream(spark, sf, end)),
@@ -1236,7 +1236,7 @@ def line_stages() -> list[Stage]:
 @query
 def stream_stage_tables(spark, sf):
     """Four jobs, each streaming the table that the one before writes."""
-    with stream_session(spark):
+    with stream_session(spark, replay=lines(spark, sf)):
         jobs = StagedTables(
             lambda end: _line_stream(spark, sf, end),
             shared_dir(spark, "stream_stages"),

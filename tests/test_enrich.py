@@ -303,3 +303,16 @@ def test_ledger_calls_each_key_once(spark):
     assert run(df, 1) == ({1: "1:a", 2: "0:b", 3: "1:a", 4: None}, 1)
     assert run(df, 2) == ({1: "1:a", 2: "0:b", 3: "1:a", 4: None}, 0)
     assert Ledger(spark, path).rows().count() == 2
+
+
+def test_tools_that_never_wait_need_no_thread():
+    class NoThreads:
+        def call(self, *_, **__):
+            raise AssertionError("a thread was asked for")
+
+    text = "truck_id: 7, severity: HIGH, likely_cause: coolant leak, recommended_action: stop"
+    answer = dispatch_agent().run(text, "7_1", threads=NoThreads())
+    assert answer == dispatch_agent().run(text, "7_1")
+    assert answer.endswith("API Response:\nMOCKED: 200 OK")
+    waiting = dispatch_agent(http_post=lambda arguments, key, timeout: "201")
+    assert "FAILED" in waiting.run(text, "7_1", threads=NoThreads())

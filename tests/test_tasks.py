@@ -43,3 +43,16 @@ def test_windows_of_sparse_tables_are_combined_in_dealt_tasks(spark):
     assert re.findall(r"hashpartitioning\([^()]*, (\d+)\)", plan) == [str(least)]
     found = sorted(map(str, sparse.collect()))
     assert found == sorted(map(str, average_signals(rows, "t", "2 hours", "k", ["v"]).collect()))
+
+
+def test_larger_replays_have_more_state_partitions(spark):
+    def found(**options) -> int:
+        with stream_session(spark, **options):
+            return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    least = 4 * spark.sparkContext.defaultParallelism
+    assert found(replay=spark.range(1000)) == least
+    assert found(replay=spark.range(1 << 26)) == 64  # 512 MB of numbers
+    assert found(replay=spark.range(1 << 28)) == 256
+    assert found(state_partitions=3, replay=spark.range(1 << 28)) == 3
+    assert found(replay=spark.createDataFrame([(1,)], "id bigint")) == least
