@@ -4,7 +4,7 @@ import re
 
 from signalguard.operators.windows import average_signals
 from signalguard.session import dealt
-from signalguard.streaming.run import stream_session
+from signalguard.streaming.run import COUNTED, stream_session
 
 
 def parts(df, **options) -> int:
@@ -56,3 +56,10 @@ def test_larger_replays_have_more_state_partitions(spark):
     assert found(replay=spark.range(1 << 28)) == 256
     assert found(state_partitions=3, replay=spark.range(1 << 28)) == 3
     assert found(replay=spark.createDataFrame([(1,)], "id bigint")) == least
+
+
+def test_the_state_of_a_replay_is_not_counted(spark):
+    with stream_session(spark, replay=spark.range(1000)):
+        assert spark.conf.get(COUNTED) == "false"
+    with stream_session(spark):
+        assert spark.conf.get(COUNTED, None) != "false"
