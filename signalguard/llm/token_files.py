@@ -8,12 +8,15 @@ takes the table and the id frame and then unpacks only the frames asked for.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import struct
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -79,6 +82,18 @@ _LATIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _MARK = b"\x01"
 
 
+@contextmanager
+def _uncollected():
+    """Without looking for cycles of objects: many are made here, and none of them is in one."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()
+
+
 class ChunkEncoder:
     """Ids of texts; each distinct run between ASCII blanks is encoded once while remembered.
 
@@ -116,7 +131,10 @@ class ChunkEncoder:
 
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        return self._by_runs(texts) if self.by_runs else self._whole(texts)
+        if not self.by_runs:
+            return self._whole(texts)
+        with _uncollected():
+            return self._by_runs(texts)
 
     def _whole(self, texts: Sequence[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(
@@ -127,24 +145,30 @@ class ChunkEncoder:
     def _by_runs(self, texts: Sequence[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         self._learn(set().union(*split))
+        # Two empty runs more: a getter of one or no key would not return a tuple.
         known = self.known
-        return [b"".join(map(known.__getitem__, runs)) for runs in split]
+        known[b""] = b""
+        return [b"".join(itemgetter(b"", b"", *runs)(known)) for runs in split]
 
     def _learn(self, runs: set[bytes]) -> None:
         """See that all these runs are known."""
         if len(self.known) > self.most // 2:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        runs.difference_update(known)
-        again = runs.intersection(older)
+        # Each step below goes over the runs, few of all that is remembered.
+        runs = {r for r in runs if r not in known}
+        again = [r for r in runs if r in older]
         known.update((r, older[r]) for r in again)
-        runs -= again
+        runs.difference_update(again)
+        # Of a small ASCII word nothing is cut off: it is wanted as it stands.
+        small = {r for r in runs if r.islower() and r.isalnum()}
+        runs -= small
         parts = [_parts(r) for r in runs]
-        wanted = {p for triple in parts for p in triple}
-        wanted.difference_update(known)
-        again = wanted.intersection(older)
+        wanted = {w for w in small.union(*parts) if w not in known}
+        again = [w for w in wanted if w in older]
         known.update((w, older[w]) for w in again)
-        known.update(self._encode_runs(list(wanted - again)))
+        wanted.difference_update(again)
+        known.update(self._encode_runs(list(wanted)))
         known.update(
             (r, known[head] + known[core] + known[tail])
             for r, (head, core, tail) in zip(runs, parts, strict=True)
@@ -161,8 +185,10 @@ class ChunkEncoder:
             model, raw, letters, others = self.tokenizer.model.tokenize, self.raw, self.letters, []
             for run in runs:
                 word = run.decode("utf-8", "replace")
-                if _LATIN.fullmatch(word):
-                    word = word if run.isalpha() else word.lower().translate(letters)
+                if run.isalpha():
+                    yield run, b"".join([raw[t.id] for t in model(word)])
+                elif _LATIN.fullmatch(word):
+                    word = word.lower().translate(letters)
                     yield run, b"".join([raw[t.id] for t in model(word)])
                 else:
                     others.append(run)

@@ -1,5 +1,6 @@
 """Each operator on awkward rows, on none, and against its brute-force version."""
 
+import gc
 import random
 import zlib
 
@@ -639,3 +640,29 @@ def test_ids_are_those_of_any_tokenizer(path, by_runs):
     for text, ids in zip(texts, got, strict=True):
         whole = encoder.tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(ids, "<u4").tolist() == whole
+
+
+def test_texts_are_encoded_without_looking_for_cycles():
+    encoder = token_files.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [f"Word{i}, word{i} x{i % 7}a Été{i}".encode() for i in range(20_000)] + [b"", b"one"]
+    looked = []
+    gc.callbacks.append(lambda phase, info: looked.append(phase))
+    try:
+        found = encoder.encode(texts)
+    finally:
+        gc.callbacks.pop()
+    assert len(looked) <= 2 and gc.isenabled()  # at most once, when all is done
+    assert found[-200:] == encoder._whole(texts[-200:])
+
+
+class _Unwalked(dict):
+    def __iter__(self):
+        raise AssertionError("all that is remembered was gone over")
+
+
+def test_what_is_remembered_is_looked_up_not_gone_over():
+    encoder = token_files.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = [b"some words, some words", b"Some other words!", b"", b"12 <b> \xc3\x89t\xc3\xa9."]
+    encoder.known, encoder.older = _Unwalked(), _Unwalked(encoder._encode_runs([b"some"]))
+    assert encoder.encode(texts) == encoder._whole(texts)
+    assert encoder.encode(texts[::-1]) == encoder._whole(texts[::-1])
