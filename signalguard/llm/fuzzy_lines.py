@@ -36,6 +36,8 @@ _LANES = 0x0001000100010001
 _BLOCK = 32767  # features whose counts fit sixteen bits
 _WIDTHS = (1, 2, 3, 4)  # words of a block
 _CROWD = 4096  # lines of one key for each task that compares them; no pair depends on it
+_PAIRS = 1_000_000  # candidates that are verified at a time at least, and so many for each line:
+_PAIRS_A_LINE = 3
 _CLASSES = 63  # the low bits of an id tell about how many words its line has
 
 
@@ -260,6 +262,22 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return similar.where(F.expr(f"{tries} ELSE false END")).select("a", "b")
 
 
+def _links_among(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """``_verified``, stored.
+
+    A pair is shuffled with a line's letters.  There can be many more pairs than lines, so they
+    are verified in parts, one after the other: what is on disk at a time stays in proportion to
+    the lines, and that the lines are shuffled for each part costs less than the pairs do.
+    """
+    parts = math.ceil(pairs.count() / max(_PAIRS, _PAIRS_A_LINE * texts.count())) or 1
+    part = F.pmod(F.xxhash64("a", "b"), F.lit(parts))
+    found = [
+        stored(_verified(pairs.where(part == i), texts, similarity), "line_links")
+        for i in range(parts)
+    ]
+    return reduce(DataFrame.union, found)
+
+
 def line_groups(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -335,14 +353,14 @@ def _links(
     )
     texts = texts.dropDuplicates(["id"])
     texts = stored(texts, "line_texts")
-    first = stored(_verified(tries, texts, similarity), "line_links")
+    first = _links_among(tries, texts, similarity)
     placed = members.select("key", "id").join(
         components(first).withColumnRenamed("node", "id"), "id", "left"
     )
     placed = placed.withColumn("component", F.coalesce("component", "id"))
     more = _between_groups(stored(placed, "placed_members"), texts, similarity)
     more = stored(more.distinct(), "line_pairs")
-    return first.union(_verified(more, texts, similarity))
+    return first.union(_links_among(more, texts, similarity))
 
 
 def _between_groups(placed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import gc
 import random
+import time
 import zlib
 
 import brute
@@ -23,6 +24,7 @@ from signalguard.llm import (
     substring,
     token_files,
 )
+from signalguard.llm.base import stored
 from signalguard.llm.components import components
 from signalguard.llm.elias_fano import Bits, Children, Monotone, map_arrays, write_arrays
 
@@ -666,3 +668,39 @@ def test_what_is_remembered_is_looked_up_not_gone_over():
     encoder.known, encoder.older = _Unwalked(), _Unwalked(encoder._encode_runs([b"some"]))
     assert encoder.encode(texts) == encoder._whole(texts)
     assert encoder.encode(texts[::-1]) == encoder._whole(texts[::-1])
+
+
+def test_a_stored_table_leaves_nothing_that_was_shuffled(spark):
+    def kept():
+        env = spark._jvm.org.apache.spark.SparkEnv.get()
+        files = env.blockManager().diskBlockManager().getAllFiles().iterator()
+        names = set()
+        while files.hasNext():
+            names.add(files.next().getName())
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before = kept()
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    found = stored(rows.join(spark.range(9).withColumnRenamed("id", "k"), "k"), "shuffled")
+    deadline = time.monotonic() + 20
+    while (left := kept() - before) and time.monotonic() < deadline:
+        time.sleep(0.1)
+    assert not left
+    assert found.count() == 7
+
+
+def test_many_candidates_are_verified_in_parts(spark, monkeypatch):
+    names = []
+    keep = fuzzy_lines.stored
+    monkeypatch.setattr(fuzzy_lines, "stored", lambda df, label: names.append(label) or keep(df, label))
+    monkeypatch.setattr(fuzzy_lines, "_PAIRS", 5)
+    monkeypatch.setattr(fuzzy_lines, "_PAIRS_A_LINE", 0)
+    letters = [(i, "abcdefghij"[: 10 - i % 2] + "xyz"[i % 3] * (i % 4 == 0)) for i in range(8)]
+    texts = keep(spark.createDataFrame(letters, "id bigint, letters string"), "texts")
+    pairs = keep(spark.range(64).selectExpr("id div 8 a", "id % 8 b").where("a < b"), "pairs")
+    found = fuzzy_lines._links_among(pairs, texts, 0.8)
+    assert names == ["line_links"] * 6  # 28 pairs
+    once = fuzzy_lines._verified(pairs, texts, 0.8)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, once.collect()))
+    assert found.count() > 5
+    assert fuzzy_lines._links_among(pairs.limit(0), texts, 0.8).count() == 0
