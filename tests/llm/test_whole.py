@@ -158,3 +158,21 @@ def test_no_key_is_too_crowded_for_a_similar_pair(spark):
         texts += [" ".join([shared, *base]), " ".join([shared, *near])]
     docs = documents(spark, rows(texts)).repartition(3)
     assert found_lines(fuzzy_lines.line_groups(docs)) == brute.line_groups(list(enumerate(texts)))
+
+
+def test_no_long_similar_line_is_missed(spark):
+    """Every similar pair shares a key, however long its lines and wherever its edits are."""
+    rng = random.Random(33)
+    words = [f"{rng.choice('klmnop') * rng.randrange(1, 9)}{i}" for i in range(300)]
+    texts = []
+    for size in range(20, 200, 3):
+        base = rng.choices(words, k=size)
+        near = list(base)
+        # As many edits as are allowed, evenly spread: no five neighbouring words are left.
+        for place in range(size // 5):
+            near[place * 5 + rng.randrange(2)] = f"edited{rng.randrange(10**6)}"
+        texts += [" ".join(base), " ".join(near)]
+    rng.shuffle(texts)
+    wanted = brute.line_groups(list(enumerate(texts)))
+    assert sum(place != keep for place, keep in wanted.items()) == 60
+    assert found_lines(fuzzy_lines.line_groups(documents(spark, rows(texts)).repartition(3))) == wanted
