@@ -427,3 +427,15 @@ def test_stages_stopped_and_started_again(spark):
         expected = diagnose(at_risk(signal_anomalies(batch, WATCH), WATCH), WATCH)
         assert as_set(got) == as_set(expected)
         assert got.count() > 0
+
+
+def test_a_replay_does_not_keep_its_state_open(spark):
+    """The stores of all partitions together hold a bounded part of an executor's memory."""
+    store = "spark.sql.streaming.stateStore"
+    with stream_session(spark, replay=spark.range(9)):
+        assert spark.conf.get(f"{store}.rocksdb.boundedMemoryUsage") == "true"
+        assert int(spark.conf.get(f"{store}.rocksdb.maxMemoryUsageMB")) <= 256
+        assert spark.conf.get(f"{store}.unloadOnCommit") == "true"
+    with stream_session(spark):
+        assert spark.conf.get(f"{store}.rocksdb.boundedMemoryUsage") == "true"
+        assert spark.conf.get(f"{store}.unloadOnCommit") == "false"
