@@ -1,6 +1,7 @@
 """Operators against brute force without the shortcuts that the operators take."""
 
 import math
+import os
 import random
 
 import brute
@@ -176,3 +177,18 @@ def test_no_long_similar_line_is_missed(spark):
     wanted = brute.line_groups(list(enumerate(texts)))
     assert sum(place != keep for place, keep in wanted.items()) == 60
     assert found_lines(fuzzy_lines.line_groups(documents(spark, rows(texts)).repartition(3))) == wanted
+
+
+def test_a_model_keeps_only_what_scores_need(spark):
+    """Counted n-grams go once they are in the trie; counts stay for contexts only, in few bytes."""
+    docs = documents(spark, rows(once_seen_texts()))
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    model = ngram_lm.learn(docs, least=1)
+    assert ngram_lm.score_texts(docs, model).count() == 60
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(root)) - before}
+    assert left == {"lm", "lm_files"}
+    counts = [name for name in os.listdir(model.folder) if name.endswith(".counts")]
+    assert counts and all(name.startswith("grams2-") for name in counts)
+    kept, _ = ngram_lm.map_arrays(model.folder, counts[0])
+    assert kept["values"].dtype.itemsize <= 2
