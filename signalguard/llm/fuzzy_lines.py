@@ -37,8 +37,8 @@ _LANES = 0x0001000100010001
 _BLOCK = 32767  # features whose counts fit sixteen bits
 _WIDTHS = (1, 2, 3)  # words of a block
 _LENGTHS = 63  # the low bits of a word's code are its length, this one at most
-_COMMON = 16_384  # blocks that come last because many lines have them; they are found by
-_COUNTED = 64  # counting those of every so many-th line
+_COMMON = 16_384  # blocks at most that come last because many lines have them,
+_COUNTED = 64  # as counted in one text of so many; no link depends on it
 _KEYS = 2_000_000  # keys that are shuffled at a time at least, and so many for each line:
 _KEYS_A_LINE = 6
 _MEMBERS_A_LINE = 2  # lines of keys that are compared at a time, for each line
@@ -204,7 +204,9 @@ def _block_keys(codes: Column, similarity: float, common: Sequence[int] = ()) ->
         wanted = longest >= F.lit(_least_words(width, similarity))
         if width < _WIDTHS[-1]:
             wanted &= n < F.lit(_least_words(width + 1, similarity))
-        ordered = F.sort_array(_blocks(codes, width, common))
+        # Only blocks of the last width are counted.
+        last = common if width == _WIDTHS[-1] else ()
+        ordered = F.sort_array(_blocks(codes, width, last))
         found = F.slice(ordered, 1, _first_grams(n, width, similarity))
         return F.when(wanted & (n >= width), found).otherwise(F.array().cast("array<bigint>"))
 
@@ -436,6 +438,7 @@ def _shared_keys(keyed: DataFrame, similarity: float) -> tuple[DataFrame, DataFr
 
 
 def _texts(judged: DataFrame) -> DataFrame:
+    """id and letters of each line."""
     letters = judged.select("id", _letters(F.col("words")).alias("letters"))
     return letters.dropDuplicates(["id"])
 
